@@ -64,7 +64,7 @@ def to_price_table(rows: DataFrame, order_cols: list[str], uuid_col: str = "card
         F.to_date(F.col(date_col)).alias("price_date"),
         F.col(price_col).cast("decimal(10,2)").alias("price"),
         (F.col(currency_col) if currency_col else F.lit("USD")).alias("currency"),
-        *[F.col(c) for c in order_cols],
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
     )
-    return latest_row(shaped, ["card_uuid", "source", "price_type", "price_date"], order_cols,
-                      ["price", "currency"])
+    return latest_row(shaped, ["card_uuid", "source", "price_type", "price_date"],
+                      [f"_o{i}" for i in range(len(order_cols))], ["price", "currency"])
