@@ -101,12 +101,12 @@ def conditional_counts(df: DataFrame, by, conditions: dict[str, Column]) -> Data
     return g.agg(*aggs)
 
 
-def portfolio_stats(latest: DataFrame, value_col: str = "total_value") -> DataFrame:
-    """Global count / sum / avg / max / min of deck values (one row)."""
+def portfolio_stats(latest: DataFrame, value_col: str = "total_value", extra: list[Column] | None = None) -> DataFrame:
+    """Global count / sum / avg / max / min of deck values (one row), plus ``extra`` aggregates."""
     v = F.col(value_col)
     return latest.agg(F.count(F.lit(1)).alias("total_decks"), money_sum(v).alias("combined_value"),
                       money_avg(v).alias("average_deck_value"), F.max(v).alias("most_expensive_deck"),
-                      F.min(v).alias("cheapest_deck"))
+                      F.min(v).alias("cheapest_deck"), *(extra or []))
 
 
 def bucket_stats(latest: DataFrame, cards_col: str = "total_cards", value_col: str = "total_value") -> DataFrame:
