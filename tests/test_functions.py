@@ -1,0 +1,44 @@
+"""Scalar column rules."""
+
+from pyspark.sql import functions as F
+
+from cardlake.functions import columns as C
+
+
+def test_compact_number(spark):
+    df = spark.createDataFrame([(999,), (1000,), (1250,), (1150000,), (53607349,), (32385,)], "n long")
+    got = [r[0] for r in df.select(C.compact_number("n")).collect()]
+    assert got == ["999", "1.0K", "1.3K", "1.2M", "53.6M", "32.4K"]
+
+
+def test_tier_bucket_category(spark):
+    df = spark.createDataFrame([(None, None, 60), (2.0, [], 75), (2.5, ["W"], 100), (4.5, ["W", "U", "B", "R", "G"], 101)],
+                               "cmc double, colors array<string>, total int")
+    got = df.select(C.mana_cost_tier("cmc"), C.color_category("colors"), C.deck_bucket("total")).collect()
+    assert [tuple(r) for r in got] == [("low", "Unknown", "Standard (60 cards)"),
+                                       ("low", "Colorless", "Limited (75 cards)"),
+                                       ("medium", "Monocolored", "Commander (100 cards)"),
+                                       ("high", "Five-colored", "Other")]
+
+
+def test_alert_and_money_text(spark):
+    df = spark.createDataFrame([(None, 612.5), ("Lotus", 50000.0)], "name string, price double")
+    got = df.select(C.alert_message("name", "price"), C.money_text("price")).collect()
+    assert got[0][0] == "ALERT:  is priced at $612.5" and got[0][1] == "612.5"
+    assert got[1][0] == "ALERT: Lotus is priced at $50000.0" and got[1][1] == "50000"
+
+
+def test_avg_value_divide_by_zero_is_null(spark):
+    df = spark.createDataFrame([(100.0, 0), (500.0, 100)], "v double, n int")
+    assert [r[0] for r in df.select(C.avg_item_value("v", "n")).collect()] == [None, 5.0]
+
+
+def test_flexible_timestamp(spark):
+    df = spark.createDataFrame([("1704067200000",), ("2024-01-01T00:00:00.123456Z",), ("garbage",)], "t string")
+    got = [r[0] for r in df.select(F.date_format(C.flexible_timestamp("t"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).collect()]
+    assert got == ["2024-01-01 00:00:00.000000", "2024-01-01 00:00:00.123456", None]
+
+
+def test_epoch_ms_text(spark):
+    df = spark.createDataFrame([(1704067207179,)], "ms long")
+    assert df.select(C.epoch_ms_text("ms")).first()[0] == "2024-01-01 00:00:07"
