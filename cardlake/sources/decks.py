@@ -29,7 +29,9 @@ def read_deck_lines(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB) ->
 
 
 def list_deck_files(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB) -> DataFrame:
-    """(file_path) of every deck file, including empty ones (content is not read)."""
+    """(file_path) of every non-empty deck file (content is not read), so a deck whose
+    lines are all rejected still appears with 0 cards. Zero-byte files get no input
+    split in Spark's file sources and therefore never appear."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("ignoreCorruptFiles", "true").load(path).select("path"))
     # binaryFile reports decoded paths; align them with the text reader's URI form.
@@ -84,16 +86,17 @@ def parse_deck_lines(lines: DataFrame, rule: str = "cli", line_col: str = "line"
 
 
 def summarise_decks(parsed: DataFrame, files: DataFrame | None = None, path_col: str = "file_path",
-                    rule: str = "cli") -> DataFrame:
-    """One row per deck: id, name, file_path, total_cards (Σ quantity), unique_cards
-    (number of accepted *lines*, as the source counts them) and distinct_names.
+                    rule: str = "cli", with_distinct_names: bool = False) -> DataFrame:
+    """One row per deck: id, name, file_path, total_cards (Σ quantity) and unique_cards
+    (number of accepted *lines*, as the source counts them: a repeated name counts
+    twice); optionally distinct_names, the number of different card names.
 
     ``files`` (one row per file) keeps decks whose file has no valid line.
     """
-    per_file = parsed.groupBy(path_col).agg(
-        F.sum("quantity").alias("total_cards"),
-        F.count(F.lit(1)).alias("unique_cards"),
-    )
+    aggs = [F.sum("quantity").alias("total_cards"), F.count(F.lit(1)).alias("unique_cards")]
+    if with_distinct_names:
+        aggs.append(F.count_distinct("card_name").alias("distinct_names"))
+    per_file = parsed.groupBy(path_col).agg(*aggs)
     if files is not None:
         per_file = files.select(path_col).join(per_file, on=path_col, how="left") \
             .fillna(0, subset=["total_cards", "unique_cards"])
@@ -103,6 +106,8 @@ def summarise_decks(parsed: DataFrame, files: DataFrame | None = None, path_col:
         F.col(path_col).alias("file_path"),
         F.col("total_cards").cast("bigint").alias("total_cards"),
         F.col("unique_cards").cast("bigint").alias("unique_cards"),
+        *([F.coalesce(F.col("distinct_names"), F.lit(0)).cast("bigint").alias("distinct_names")]
+          if with_distinct_names else []),
     )
 
 
