@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 CLI_BLANKS = " \t\n\r"
 # Characters Go's unicode.IsSpace reports as space (used by strings.TrimSpace):
 # \t \n \v \f \r space U+0085 U+00A0 U+1680 U+2000..U+200A U+2028 U+2029 U+202F U+205F U+3000
+UNICODE_SPACES = ("\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+                  + "\u2028\u2029\u202f\u205f\u3000")
 UNICODE_SPACE_CLASS = (
     r"[\t\n\x{0B}\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -26,9 +28,10 @@ TITLE_SEPARATOR_CLASS = (
 )
 TITLE_WORD_CLASS = TITLE_SEPARATOR_CLASS.replace("[", "[^", 1)
 # Deck line rules: CLI = split at the first single space, signed integer;
-# library = ^(\d+)\s+(.+)$ on the Unicode-trimmed line.
-CLI_LINE_RE = r"(?s)^([+-]?[0-9]+) (.*)$"
-LIB_LINE_RE = r"(?s)^([0-9]+)" + RE2_PERL_SPACE + r"+(.+)$"
+# library = ^(\d+)\s+(.+)$ on the Unicode-trimmed line (a split at the first run of
+# \s characters, digits only before it, is the same match).
+CLI_QTY_RE = r"^[+-]?[0-9]+$"
+LIB_QTY_RE = r"^[0-9]+$"
 # A library-mode file fails as a whole once a line reaches the scanner's 64 KiB token limit.
 LIB_MAX_LINE_BYTES = 65536
 # Mana-cost tiers, colour categories and deck format buckets.
@@ -50,7 +53,7 @@ def cli_trim(c) -> Column:
 
 def unicode_trim(c) -> Column:
     """strings.TrimSpace: strip Unicode white space at both ends."""
-    return F.regexp_replace(col_(c), rf"^{UNICODE_SPACE_CLASS}+|{UNICODE_SPACE_CLASS}+$", "")
+    return F.btrim(col_(c), F.lit(UNICODE_SPACES))
 
 
 def base_name(path) -> Column:
@@ -58,12 +61,29 @@ def base_name(path) -> Column:
     (a literal '+' is protected first because url_decode reads it as a space)."""
     p = col_(path)
     decoded = F.url_decode(F.replace(p, F.lit("+"), F.lit("%2B")))
-    decoded = F.when(p.startswith("file:") | p.contains("://"), decoded).otherwise(p)
-    return F.regexp_extract(F.regexp_replace(decoded, "/+$", ""), r"[^/]*$", 0)
+    decoded = F.when((p.startswith("file:") | p.contains("://")) & p.contains("%"), decoded).otherwise(p)
+    return F.substring_index(decoded, "/", -1)
+
+
+def _cut_at_last(name: Column, marker: str) -> Column:
+    """Everything before the last occurrence of ``marker`` (unchanged if absent)."""
+    after = F.substring_index(name, marker, -1)
+    return F.when(name.contains(marker),
+                  F.substring(name, F.lit(1), F.length(name) - F.length(after) - F.lit(len(marker)))) \
+        .otherwise(name)
 
 
 def _ascii_title_words(name: Column) -> Column:
-    """Upper-case the first ASCII letter of every space-separated word, keep the rest."""
+    """Upper-case the first ASCII letter of every space-separated word, keep the rest.
+
+    Fast path: for ASCII text without upper-case letters, initcap (space-delimited,
+    lower-cases the rest) gives exactly this result and is code-generated; other
+    names take the per-word transform.
+    """
+    return F.when(name.rlike(r"^[\x00-\x40\x5B-\x7F]*$"), F.initcap(name)).otherwise(_title_words_slow(name))
+
+
+def _title_words_slow(name: Column) -> Column:
     words = F.split(name, " ", -1)
     fixed = F.transform(
         words,
@@ -98,8 +118,7 @@ def deck_name(path, rule: str = "cli") -> Column:
     """
     name = base_name(path)
     if rule == "cli":
-        name = F.regexp_replace(name, r"(?s)^(.*)\.deck.*$", "$1")
-        name = F.regexp_replace(name, r"(?s)^(.*)\.txt.*$", "$1")
+        name = _cut_at_last(_cut_at_last(name, ".deck"), ".txt")
         name = F.translate(name, "-_", "  ")
         return _ascii_title_words(name)
     if rule == "library":

@@ -55,28 +55,28 @@ def parse_deck_lines(lines: DataFrame, rule: str = "cli", line_col: str = "line"
     """
     raw = F.col(line_col)
     if rule == "cli":
-        t = C.cli_trim(raw)
-        qty_txt = F.regexp_extract(t, C.CLI_LINE_RE, 1)
-        name = C.cli_trim(F.regexp_extract(t, C.CLI_LINE_RE, 2))
-        has_shape = t.rlike(C.CLI_LINE_RE)
-        min_qty = 1
+        trim, sep, qty_re, min_qty = C.cli_trim, " ", C.CLI_QTY_RE, 1
     elif rule == "library":
-        t = C.unicode_trim(raw)
-        qty_txt = F.regexp_extract(t, C.LIB_LINE_RE, 1)
-        name = C.unicode_trim(F.regexp_extract(t, C.LIB_LINE_RE, 2))
-        has_shape = t.rlike(C.LIB_LINE_RE)
-        min_qty = 0
+        trim, sep, qty_re, min_qty = C.unicode_trim, C.RE2_PERL_SPACE + "+", C.LIB_QTY_RE, 0
     else:
         raise ValueError(f"unknown rule {rule!r}")
-    qty = qty_txt.try_cast("bigint")
+    # Stage the trimmed line and its split as columns (each computed once per line).
+    staged = lines.withColumn("_t", trim(raw)).withColumn("_parts", F.split("_t", sep, 2))
+    t, parts = F.col("_t"), F.col("_parts")
+    qty_txt = F.element_at(parts, 1)
+    has_shape = (F.size(parts) == 2) & qty_txt.rlike(qty_re)
+    name = F.when(has_shape, trim(F.element_at(parts, 2))).otherwise(F.lit(""))
+    qty = F.when(has_shape, qty_txt.try_cast("bigint"))
     reason = (F.when(t == "", "blank")
               .when(t.startswith("//") | t.startswith("#"), "comment")
               .when(~has_shape, "malformed")
               .when(qty.isNull(), "bad_quantity")
               .when(qty < min_qty, "non_positive")
               .when(name == "", "empty_name"))
-    out = lines.withColumn("quantity", qty).withColumn("card_name", name) \
-        .withColumn("reject_reason", reason)
+    # The parse result comes out of a generator: a later filter on reject_reason
+    # cannot be pushed below it, so the parse is not evaluated twice.
+    result = F.struct(qty.alias("quantity"), name.alias("card_name"), reason.alias("reject_reason"))
+    out = staged.select(*lines.columns, F.inline(F.array(result)))
     if rule == "library":
         too_long = lines.where(F.octet_length(raw) >= C.LIB_MAX_LINE_BYTES).select(path_col).distinct()
         out = out.join(too_long, on=path_col, how="left_anti")
