@@ -216,5 +216,6 @@ def to_epoch_ms(ts) -> Column:
 def flexible_timestamp(c) -> Column:
     """Envelope timestamps arrive as epoch millis (number) or RFC-3339 text."""
     s = F.trim(col_(c).cast("string"))
-    return F.when(s.rlike(r"^-?[0-9]+$"), F.timestamp_millis(s.try_cast("long"))) \
+    # guard with a pattern: a failing try_cast costs an exception per row
+    return F.when(s.rlike(r"^-?[0-9]{1,18}$"), F.timestamp_millis(s.try_cast("long"))) \
         .otherwise(F.try_to_timestamp(s))

@@ -56,13 +56,13 @@ def distribution(df: DataFrame, key, count_name: str = "count", with_share: bool
                  drop_null_keys: bool = False, share_name: str = "pct") -> DataFrame:
     """COUNT(*) per key; optional share of the total in percent.
 
-    The share divides by a total computed over the *aggregated* rows (one per
-    distinct key), so the window has as many rows as there are keys.
+    The total is a scalar subquery (a partial count, one row per task), so the
+    share needs no single-partition window however many keys there are.
     """
     src = df.where(C.col_(key).isNotNull()) if drop_null_keys else df
     out = src.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
     if with_share:
-        total = F.sum(count_name).over(Window.partitionBy())
+        total = src.select(F.count(F.lit(1))).scalar()
         out = out.withColumn(share_name, (F.col(count_name) * F.lit(100.0)) / total)
     return out
 

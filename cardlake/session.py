@@ -19,7 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # Planning-time estimate from (compressed) file sizes: keep it conservative.
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",

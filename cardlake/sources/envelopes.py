@@ -21,7 +21,7 @@ def decode_envelope(df: DataFrame, payload: StructType, payload_key: str = "data
     """
     schema = schemas.envelope(payload, payload_key)
     parsed = F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE"})
-    is_obj = F.col(value_col).rlike(r"^\s*\{")
+    is_obj = F.ltrim(F.col(value_col)).startswith("{")
     out = df.select(*keep, F.col(value_col), parsed.alias("_e"))
     return out.select(
         *keep,
