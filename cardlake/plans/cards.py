@@ -181,7 +181,7 @@ FROM c
 def event_envelope_build(spark, sf):
     c = _cards(spark, sf)
     ev = E.build_envelope(
-        c, "card.created", "mtgjson", "v5", payload_key="card",
+        c, schemas.EVENT_CARD, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE, payload_key="card",
         payload=["uuid", "name", F.col("set_code").alias("setCode"), "rarity",
                  F.col("cmc").alias("convertedManaCost"), "colors"],
         event_id=F.md5(F.concat(F.lit("card|"), F.col("uuid"))),

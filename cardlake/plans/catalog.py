@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardlake import schemas
 from cardlake.functions import columns as C
 from cardlake.plans import register, table
 from cardlake.plans.cards import SQL_CARDS, part_cards
@@ -65,10 +66,10 @@ def set_fanout_cards(spark, sf):
     all carrying the same ingest stamp."""
     sets, cards = CAT.flatten_sets(set_documents(table(spark, sf, "part")),
                                    processed_at=F.lit(FIXED_TS).cast("timestamp"))
-    set_ev = sets.select(F.lit("set.created").alias("eventType"), F.col("code").alias("key"),
+    set_ev = sets.select(F.lit(schemas.EVENT_SET).alias("eventType"), F.col("code").alias("key"),
                          F.col("code").alias("set_code"), F.lit(None).cast("string").alias("card_uuid"),
                          F.col("processedAt").alias("processed_at"))
-    card_ev = cards.select(F.lit("card.created").alias("eventType"), F.col("uuid").alias("key"), "set_code",
+    card_ev = cards.select(F.lit(schemas.EVENT_CARD).alias("eventType"), F.col("uuid").alias("key"), "set_code",
                            F.col("uuid").alias("card_uuid"), F.col("processedAt").alias("processed_at"))
     return set_ev.unionByName(card_ev)
 

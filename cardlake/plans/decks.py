@@ -178,7 +178,7 @@ def deck_card_events(spark, sf):
     parsed = D.parse_deck_lines(lines, rule="cli")
     cards = D.deck_cards(parsed)
     ev = E.build_envelope(
-        cards, "deck.card", "deck-ingester", "v1",
+        cards, schemas.EVENT_DECK_CARD, schemas.SOURCE_DECKS, schemas.VERSION_DECKS,
         payload=["deck_id", "deck_name", "card_name", "quantity"],
         event_id=F.md5(F.concat_ws("|", F.col("deck_id"), F.col("card_name"), F.col("quantity").cast("string"))),
         timestamp=F.lit(FIXED_TS).cast("timestamp"))
@@ -269,7 +269,7 @@ FROM ({SQL_VALUE_EVENTS}) v
 """)
 def deck_value_event(spark, sf):
     v = _value_events(spark, sf)
-    ev = E.build_envelope(v, "deck.value.calculated", "flink-deck-processor", "v1",
+    ev = E.build_envelope(v, schemas.EVENT_DECK_VALUE, schemas.SOURCE_DECK_VALUES, schemas.VERSION_DECKS,
                           payload=["deck_id", "deck_name", "total_cards", "total_value", "calculated_at"],
                           event_id=F.md5(F.concat(F.lit("value|"), F.col("offset").cast("string"))),
                           timestamp=F.timestamp_millis("calculated_at"), timestamp_as_millis=True)

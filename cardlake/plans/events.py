@@ -198,12 +198,12 @@ def interval_join_within(spark, sf):
 
 
 @register("topic_counters", """
-SELECT 'mtg.cards' AS topic, COUNT(*) AS messages, NULL::DOUBLE AS avg_price, arg_max(p_name, p_partkey) AS latest_key FROM part
+SELECT 'cards' AS topic, COUNT(*) AS messages, NULL::DOUBLE AS avg_price, arg_max(p_name, p_partkey) AS latest_key FROM part
 UNION ALL
-SELECT 'mtg.prices', COUNT(*), CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice),
+SELECT 'prices', COUNT(*), CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice),
        CAST(arg_max(l_partkey, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice)) AS VARCHAR) FROM lineitem
 UNION ALL
-SELECT 'mtg.decks', COUNT(*), CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice),
+SELECT 'decks', COUNT(*), CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice),
        CAST(arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS VARCHAR) FROM orders
 UNION ALL
 SELECT 'events', COUNT(*), CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(value),
@@ -218,8 +218,8 @@ def topic_counters(spark, sf):
                       (A.money_avg(price) if price else F.lit(None).cast("double")).alias("avg_price"),
                       F.max_by(F.col(latest).cast("string"), F.struct(*order)).alias("latest_key"))
 
-    return (one(part, "mtg.cards", None, "p_name", ["p_partkey"])
-            .unionByName(one(li, "mtg.prices", "l_extendedprice", "l_partkey",
+    return (one(part, "cards", None, "p_name", ["p_partkey"])
+            .unionByName(one(li, "prices", "l_extendedprice", "l_partkey",
                              ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"]))
-            .unionByName(one(o, "mtg.decks", "o_totalprice", "o_orderkey", ["o_orderdate", "o_orderkey"]))
+            .unionByName(one(o, "decks", "o_totalprice", "o_orderkey", ["o_orderdate", "o_orderkey"]))
             .unionByName(one(ev, "events", "value", "event_type", ["ts", "event_id"])))

@@ -52,3 +52,21 @@ ENVELOPE_HEADER = [("eventType", StringType()), ("eventId", StringType()),
 
 def envelope(payload: StructType, payload_key: str = "data") -> StructType:
     return _s(*ENVELOPE_HEADER, (payload_key, payload))
+
+
+# ---------------------------------------------------------------------------
+# Fixed values written into event envelopes; consumers match on them, so they
+# must equal the values of the system being replaced.
+# ---------------------------------------------------------------------------
+EVENT_CARD = "card.created"
+EVENT_SET = "set.created"
+EVENT_PRICE = "price.updated"
+EVENT_DECK = "deck.ingested"
+EVENT_DECK_CARD = "deck.card"
+EVENT_DECK_VALUE = "deck.value.calculated"
+SOURCE_CATALOGUE = "mtgjson"
+SOURCE_DECKS = "deck-ingester"
+SOURCE_DECK_VALUES = "flink-deck-processor"
+VERSION_CATALOGUE = "v5"
+VERSION_DECKS = "v1"
+# ---------------------------------------------------------------------------

@@ -132,7 +132,7 @@ def deck_value_events(values: DataFrame) -> DataFrame:
     """Windowed values -> deck.value.calculated envelopes (timestamp in epoch millis)."""
     return E.build_envelope(
         values.withColumn("calculated_at", F.unix_millis("window_end")),
-        "deck.value.calculated", "flink-deck-processor", "v1",
+        schemas.EVENT_DECK_VALUE, schemas.SOURCE_DECK_VALUES, schemas.VERSION_DECKS,
         payload=["deck_id", "deck_name", "total_cards", "total_value", "calculated_at"],
         timestamp=F.col("window_end"), timestamp_as_millis=True)
 
