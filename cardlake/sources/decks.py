@@ -111,6 +111,19 @@ def summarise_decks(parsed: DataFrame, files: DataFrame | None = None, path_col:
     )
 
 
+# Annotations seen in hand-written deck lists; the line is kept and counted as is,
+# only flagged for review.
+SUSPECT_NAME_RE = r"(\s-\s|\s->|-OK$|\(proxy\)|proxy$)"
+SUSPECT_MAX_QTY = 99
+
+
+def flag_suspect(parsed: DataFrame, name_col: str = "card_name", qty_col: str = "quantity") -> DataFrame:
+    """Add ``suspect``: the name carries an annotation ('- proxy', '-> X', '-OK') or the
+    quantity is implausibly large (a stray sentence that happens to start with a number)."""
+    return parsed.withColumn("suspect", F.col(name_col).rlike(SUSPECT_NAME_RE)
+                             | (F.col(qty_col) > SUSPECT_MAX_QTY))
+
+
 def deck_cards(parsed: DataFrame, path_col: str = "file_path", rule: str = "cli") -> DataFrame:
     """Per accepted line: deck_id, deck_name, card_name, quantity (one card event each)."""
     return parsed.select(
