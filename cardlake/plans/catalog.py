@@ -13,6 +13,7 @@ from cardlake.functions import columns as C
 from cardlake.plans import register, table
 from cardlake.plans.cards import SQL_CARDS, part_cards
 from cardlake.sources import catalog as CAT
+from cardlake.session import spread
 
 FIXED_TS = "2024-01-01 00:00:00"
 
@@ -50,7 +51,7 @@ FROM ({SQL_CARDS}) c JOIN part p ON c.uuid = CAST(p.p_partkey AS VARCHAR) WHERE
 
 @register("set_catalog_flatten", SQL_SET_CARDS)
 def set_catalog_flatten(spark, sf):
-    _, cards = CAT.flatten_sets(set_documents(table(spark, sf, "part")),
+    _, cards = CAT.flatten_sets(set_documents(spread(table(spark, sf, "part"))),
                                 processed_at=F.lit(FIXED_TS).cast("timestamp"))
     return cards.select("set_code", "uuid", "name", "rarity", "type", "convertedManaCost")
 
@@ -64,7 +65,7 @@ SELECT 'card.created', uuid, set_code, uuid, '{FIXED_TS}' FROM ({SQL_SET_CARDS})
 def set_fanout_cards(spark, sf):
     """One set event per set document (cards stripped) and one card event per card,
     all carrying the same ingest stamp."""
-    sets, cards = CAT.flatten_sets(set_documents(table(spark, sf, "part")),
+    sets, cards = CAT.flatten_sets(set_documents(spread(table(spark, sf, "part"))),
                                    processed_at=F.lit(FIXED_TS).cast("timestamp"))
     set_ev = sets.select(F.lit(schemas.EVENT_SET).alias("eventType"), F.col("code").alias("key"),
                          F.col("code").alias("set_code"), F.lit(None).cast("string").alias("card_uuid"),
@@ -104,5 +105,5 @@ SELECT CASE WHEN p_type = 'PROMO'
 FROM p WHERE p_type NOT IN ('STANDARD', 'MEDIUM')
 """)
 def first_variant_canonical(spark, sf):
-    cards = CAT.first_variant(atomic_documents(table(spark, sf, "part")))
+    cards = CAT.first_variant(atomic_documents(spread(table(spark, sf, "part"))))
     return cards.select("uuid", "name", "rarity", "setCode", "convertedManaCost")

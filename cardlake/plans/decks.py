@@ -19,6 +19,7 @@ from cardlake.plans import register, table
 from cardlake.sources import decks as D
 from cardlake.sources import envelopes as E
 from cardlake import schemas
+from cardlake.session import spread
 from cardlake.operators import aggregates as A
 from cardlake.operators import joins as J
 
@@ -174,7 +175,7 @@ SELECT 'deck.card' AS eventType, md5({SQL_ID.format(p=SQL_PATH)} || '|' || 'Part
 FROM lineitem WHERE l_returnflag <> 'A'
 """)
 def deck_card_events(spark, sf):
-    lines = _lines(spark, sf)
+    lines = lineitem_deck_lines(spread(table(spark, sf, "lineitem")))  # JSON per line: use every core
     parsed = D.parse_deck_lines(lines, rule="cli")
     cards = D.deck_cards(parsed)
     ev = E.build_envelope(

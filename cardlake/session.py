@@ -76,3 +76,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rows over at least ``min_partitions`` tasks (default: the cluster's
+    parallelism) when the input arrives in fewer partitions, e.g. one unsplittable
+    file read by a single task. Inputs that are already parallel pass unchanged, so
+    no shuffle is added at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
