@@ -144,9 +144,13 @@ def mana_cost_tier(cmc) -> Column:
             .otherwise("high"))
 
 
-def color_category(colors) -> Column:
-    """Category by array size 0..5; NULL (omitted empty array) and >5 -> 'Unknown'."""
+def color_category(colors, missing_as_colorless: bool = False) -> Column:
+    """Category by array size 0..5; >5 -> 'Unknown'. A NULL list (an empty list is
+    omitted on write, so it reads as NULL) is 'Unknown' as in the source, or
+    'Colorless' with ``missing_as_colorless``."""
     n = F.array_size(col_(colors))
+    if missing_as_colorless:
+        n = F.coalesce(n, F.lit(0))
     expr = None
     for i, label in enumerate(COLOR_CATEGORIES):
         expr = F.when(n == i, label) if expr is None else expr.when(n == i, label)

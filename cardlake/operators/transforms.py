@@ -10,12 +10,11 @@ from cardlake.operators.aggregates import latest_row
 
 
 def enrich_cards(cards: DataFrame, colors_col: str = "colors", cmc_col: str = "cmc",
-                 processed_at=None, missing_colors_as_colorless: bool = False) -> DataFrame:
+                 processed_at=None) -> DataFrame:
     """Add color_count, multicolored, mana_cost_tier and processed_at.
 
     A card without a colour list (empty lists are omitted on write, so they read
-    as NULL) keeps the defaults 0 / false unless ``missing_colors_as_colorless``
-    (same numbers, but kept explicit). A missing cost counts as 0 -> 'low'.
+    as NULL) keeps the defaults 0 / false. A missing cost counts as 0 -> 'low'.
     """
     colors = F.col(colors_col)
     n = F.coalesce(F.array_size(colors), F.lit(0))

@@ -42,3 +42,9 @@ def test_flexible_timestamp(spark):
 def test_epoch_ms_text(spark):
     df = spark.createDataFrame([(1704067207179,)], "ms long")
     assert df.select(C.epoch_ms_text("ms")).first()[0] == "2024-01-01 00:00:07"
+
+
+def test_color_category_missing_option(spark):
+    df = spark.createDataFrame([(None,)], "colors array<string>")
+    r = df.select(C.color_category("colors"), C.color_category("colors", missing_as_colorless=True)).first()
+    assert tuple(r) == ("Unknown", "Colorless")
