@@ -47,11 +47,11 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str, ver
 
     # 1) in-bucket: union, order by (ts, side) so a version at the same instant counts
     fact_cols = facts.columns
+    tb_type = v.schema["_vtb"].dataType
     fu = f.select(F.col(key).alias("_k"), F.col("_b"), F.col(fact_ts).alias("_ts"), F.lit(1).alias("_side"),
-                  F.lit(None).cast("long").alias("_vtb_o"), F.lit(None).cast(v.schema["_v"].dataType).alias("_v"),
+                  F.lit(None).cast(tb_type).alias("_vtb_o"), F.lit(None).cast(v.schema["_v"].dataType).alias("_v"),
                   F.struct(*[F.col(c) for c in fact_cols]).alias("_f"))
-    vu = v.select("_k", "_b", F.col("_vts").alias("_ts"), F.lit(0).alias("_side"),
-                  F.col("_vtb").cast("long").alias("_vtb_o") if version_tiebreak else F.lit(None).cast("long").alias("_vtb_o"),
+    vu = v.select("_k", "_b", F.col("_vts").alias("_ts"), F.lit(0).alias("_side"), F.col("_vtb").alias("_vtb_o"),
                   "_v", F.lit(None).cast(fu.schema["_f"].dataType).alias("_f"))
     w = (Window.partitionBy("_k", "_b").orderBy("_ts", "_side", "_vtb_o")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
