@@ -27,7 +27,7 @@ def ingest_decks(spark, directory: str, rule: str = "cli", out: str | None = Non
     lines = D.read_deck_lines(spark, directory)
     graded, obs = observe_rejects(D.parse_deck_lines(lines, rule=rule, keep_rejects=True), "deck_lines")
     accepted = graded.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    decks = D.summarise_decks(accepted, files=D.list_deck_files(spark, directory), rule=rule)
+    decks = D.summarise_decks(graded, rule=rule)
     if dry_run:
         # a preview is the feature here: print at most `preview` decks
         for js in decks.orderBy("file_path").limit(preview).toJSON().collect():

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from cardlake.functions import columns as C
 from cardlake.operators import aggregates as A
-from cardlake.operators import joins as J
 from cardlake.operators import transforms as T
 from cardlake.plans import register, table
 from cardlake.sources import envelopes as E

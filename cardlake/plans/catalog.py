@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlake import schemas
-from cardlake.functions import columns as C
 from cardlake.plans import register, table
 from cardlake.plans.cards import SQL_CARDS, part_cards
 from cardlake.sources import catalog as CAT

@@ -41,12 +41,9 @@ def lineitem_deck_lines(li: DataFrame) -> DataFrame:
             .where(F.col("line").isNotNull()))
 
 
-def deck_files(lines: DataFrame) -> DataFrame:
-    return lines.select("file_path").distinct()
-
-
 def _lines(spark, sf):
-    return lineitem_deck_lines(table(spark, sf, "lineitem"))
+    # parsing is per-line CPU work: spread the (single-split) table over every core
+    return lineitem_deck_lines(spread(table(spark, sf, "lineitem")))
 
 
 # SQL pieces shared by the oracles ------------------------------------------------
@@ -78,9 +75,8 @@ SELECT {SQL_ID.format(p=SQL_PATH)} AS id,
 FROM lineitem GROUP BY l_orderkey
 """)
 def deck_total_unique(spark, sf):
-    lines = _lines(spark, sf)
-    parsed = D.parse_deck_lines(lines, rule="cli")
-    return D.summarise_decks(parsed, files=deck_files(lines), rule="cli")
+    graded = D.parse_deck_lines(_lines(spark, sf), rule="cli", keep_rejects=True)
+    return D.summarise_decks(graded, rule="cli")
 
 
 _CLI_SQL = r"""
@@ -175,8 +171,7 @@ SELECT 'deck.card' AS eventType, md5({SQL_ID.format(p=SQL_PATH)} || '|' || 'Part
 FROM lineitem WHERE l_returnflag <> 'A'
 """)
 def deck_card_events(spark, sf):
-    lines = lineitem_deck_lines(spread(table(spark, sf, "lineitem")))  # JSON per line: use every core
-    parsed = D.parse_deck_lines(lines, rule="cli")
+    parsed = D.parse_deck_lines(_lines(spark, sf), rule="cli")
     cards = D.deck_cards(parsed)
     ev = E.build_envelope(
         cards, schemas.EVENT_DECK_CARD, schemas.SOURCE_DECKS, schemas.VERSION_DECKS,
@@ -196,8 +191,7 @@ SELECT {SQL_PATH} AS file_path,
 FROM lineitem GROUP BY l_orderkey
 """)
 def deck_json_preview(spark, sf):
-    lines = _lines(spark, sf)
-    decks = D.summarise_decks(D.parse_deck_lines(lines), files=deck_files(lines))
+    decks = D.summarise_decks(D.parse_deck_lines(_lines(spark, sf), keep_rejects=True))
     return decks.select("file_path", F.to_json(F.struct(*decks.columns)).alias("json"))
 
 
@@ -286,8 +280,7 @@ SELECT {SQL_PATH} AS file_path,
 FROM lineitem GROUP BY l_orderkey
 """)
 def deck_value_estimated(spark, sf, unit_price: float = 5.0):
-    lines = _lines(spark, sf)
-    decks = D.summarise_decks(D.parse_deck_lines(lines), files=deck_files(lines))
+    decks = D.summarise_decks(D.parse_deck_lines(_lines(spark, sf), keep_rejects=True))
     return decks.select("file_path", "total_cards", C.estimate_value("total_cards", unit_price).alias("estimated_value"))
 
 
@@ -302,8 +295,7 @@ FROM d
 """)
 def deck_portfolio_value(spark, sf, unit_price: float = 5.0):
     """Flagship: a directory of deck texts -> per-deck totals -> estimated values -> portfolio."""
-    lines = _lines(spark, sf)
-    decks = D.summarise_decks(D.parse_deck_lines(lines), files=deck_files(lines))
+    decks = D.summarise_decks(D.parse_deck_lines(_lines(spark, sf), keep_rejects=True))
     valued = decks.withColumn("total_value", C.estimate_value("total_cards", unit_price))
     return A.portfolio_stats(valued, extra=[F.sum("total_cards").alias("total_cards")])
 

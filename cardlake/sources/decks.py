@@ -28,17 +28,6 @@ def read_deck_lines(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB) ->
             .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line")))
 
 
-def list_deck_files(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB) -> DataFrame:
-    """(file_path) of every non-empty deck file (content is not read), so a deck whose
-    lines are all rejected still appears with 0 cards. Zero-byte files get no input
-    split in Spark's file sources and therefore never appear."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("ignoreCorruptFiles", "true").load(path).select("path"))
-    # binaryFile reports decoded paths; align them with the text reader's URI form.
-    return files.select(F.replace(F.replace(F.col("path"), F.lit("%"), F.lit("%25")),
-                                  F.lit(" "), F.lit("%20")).alias("file_path"))
-
-
 def parse_deck_lines(lines: DataFrame, rule: str = "cli", line_col: str = "line",
                      path_col: str = "file_path", keep_rejects: bool = False) -> DataFrame:
     """Parse ``<quantity> <name>`` lines.
@@ -85,29 +74,30 @@ def parse_deck_lines(lines: DataFrame, rule: str = "cli", line_col: str = "line"
     return out.where(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
-def summarise_decks(parsed: DataFrame, files: DataFrame | None = None, path_col: str = "file_path",
-                    rule: str = "cli", with_distinct_names: bool = False) -> DataFrame:
-    """One row per deck: id, name, file_path, total_cards (Σ quantity) and unique_cards
+def summarise_decks(graded: DataFrame, path_col: str = "file_path", rule: str = "cli",
+                    with_distinct_names: bool = False) -> DataFrame:
+    """One row per deck file: id, name, file_path, total_cards (Σ quantity) and unique_cards
     (number of accepted *lines*, as the source counts them: a repeated name counts
     twice); optionally distinct_names, the number of different card names.
 
-    ``files`` (one row per file) keeps decks whose file has no valid line.
+    ``graded`` are the lines from ``parse_deck_lines(..., keep_rejects=True)``: the
+    aggregate counts only accepted lines, so a file whose lines are all rejected still
+    yields a deck with 0 cards, in the same single pass (no separate file listing).
+    Already-filtered lines (no ``reject_reason`` column) are accepted as well.
     """
-    aggs = [F.sum("quantity").alias("total_cards"), F.count(F.lit(1)).alias("unique_cards")]
+    ok = F.col("reject_reason").isNull() if "reject_reason" in graded.columns else F.lit(True)
+    aggs = [F.coalesce(F.sum(F.when(ok, F.col("quantity"))), F.lit(0)).alias("total_cards"),
+            F.count_if(ok).alias("unique_cards")]
     if with_distinct_names:
-        aggs.append(F.count_distinct("card_name").alias("distinct_names"))
-    per_file = parsed.groupBy(path_col).agg(*aggs)
-    if files is not None:
-        per_file = files.select(path_col).join(per_file, on=path_col, how="left") \
-            .fillna(0, subset=["total_cards", "unique_cards"])
+        aggs.append(F.count_distinct(F.when(ok, F.col("card_name"))).alias("distinct_names"))
+    per_file = graded.groupBy(path_col).agg(*aggs)
     return per_file.select(
         C.stable_id(path_col).alias("id"),
         C.deck_name(path_col, rule).alias("name"),
         F.col(path_col).alias("file_path"),
         F.col("total_cards").cast("bigint").alias("total_cards"),
         F.col("unique_cards").cast("bigint").alias("unique_cards"),
-        *([F.coalesce(F.col("distinct_names"), F.lit(0)).cast("bigint").alias("distinct_names")]
-          if with_distinct_names else []),
+        *([F.col("distinct_names").cast("bigint").alias("distinct_names")] if with_distinct_names else []),
     )
 
 

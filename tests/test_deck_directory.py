@@ -9,8 +9,7 @@ FIX = os.path.join(os.path.dirname(__file__), "fixtures", "decks")
 
 def _summary(spark, rule):
     lines = D.read_deck_lines(spark, FIX)
-    files = D.list_deck_files(spark, FIX)
-    s = D.summarise_decks(D.parse_deck_lines(lines, rule=rule), files=files, rule=rule)
+    s = D.summarise_decks(D.parse_deck_lines(lines, rule=rule, keep_rejects=True), rule=rule)
     return {r.name: (r.total_cards, r.unique_cards) for r in s.collect()}
 
 

@@ -1,6 +1,5 @@
 """Deck line rules (CLI and library) and deck-name rules, on literal edge cases."""
 
-from pyspark.sql import functions as F
 
 from cardlake.functions import columns as C
 from cardlake.sources import decks as D
@@ -66,8 +65,9 @@ def test_deck_names(spark):
 def test_summary_counts_lines_not_names(spark):
     rows = [("r.deck", "1 A"), ("r.deck", "1 A"), ("r.deck", "2 B"), ("e.deck", "// only a comment")]
     lines = spark.createDataFrame(rows, "file_path string, line string")
-    files = lines.select("file_path").distinct()
-    s = {r.file_path: r for r in D.summarise_decks(D.parse_deck_lines(lines), files=files).collect()}
+    graded = D.parse_deck_lines(lines, keep_rejects=True)
+    s = {r.file_path: r for r in D.summarise_decks(graded, with_distinct_names=True).collect()}
     assert s["r.deck"].total_cards == 4 and s["r.deck"].unique_cards == 3
     assert s["e.deck"].total_cards == 0 and s["e.deck"].unique_cards == 0
-    assert s["r.deck"].id == s["r.deck"].id and len(s["r.deck"].id) == 36
+    assert s["r.deck"].distinct_names == 2 and s["e.deck"].distinct_names == 0
+    assert len(s["r.deck"].id) == 36
