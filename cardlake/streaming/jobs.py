@@ -182,3 +182,16 @@ def dedupe_replays(df: DataFrame, keys: list[str], ts_col: str, watermark: str =
     """Drop re-sent copies of the same fact (same business key, any event id) that
     arrive within the watermark; older replays are absorbed by the keyed upsert."""
     return df.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark(keys)
+
+
+def progress_counters(query: StreamingQuery) -> dict:
+    """Live counters of a running query from its last progress report: input rows,
+    input and processing rates (rows/s) of the last micro-batch, per source."""
+    p = query.lastProgress or {}
+    return {
+        "batch_id": p.get("batchId"),
+        "num_input_rows": p.get("numInputRows", 0),
+        "input_rows_per_second": p.get("inputRowsPerSecond", 0.0),
+        "processed_rows_per_second": p.get("processedRowsPerSecond", 0.0),
+        "sources": {s.get("description"): s.get("numInputRows", 0) for s in p.get("sources", [])},
+    }
