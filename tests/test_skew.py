@@ -70,3 +70,18 @@ def test_skewed_join_is_split_by_aqe(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_interval_join_hot_key_is_bucketed(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    # one key, 3000 rows on each side spread over ~2 days: a key-only join would compare 9M pairs
+    left = spark.range(3000).select(F.lit("hot").alias("id"),
+                                    (F.lit(t0) + F.make_interval(mins=F.col("id").cast("int"))).alias("lts"))
+    right = spark.range(3000).select(F.lit("hot").alias("deck_id"), F.col("id").alias("rid"),
+                                     (F.lit(t0) + F.make_interval(mins=(F.col("id") + 7).cast("int"))).alias("rts"))
+    j = J.interval_join(left, right, "id", "deck_id", "lts", "rts", "1 hour")
+    plan = j._jdf.queryExecution().optimizedPlan().toString()
+    assert "_ij_b" in plan
+    # brute force: minutes i (left) and r + 7 (right) pair when |i - r - 7| <= 60
+    want = sum(1 for i in range(3000) for r in range(max(0, i - 67), min(3000, i + 54)) if abs(i - r - 7) <= 60)
+    assert j.count() == want
