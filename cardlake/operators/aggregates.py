@@ -53,12 +53,18 @@ def latest_row(df: DataFrame, keys, order_cols, value_cols) -> DataFrame:
 
 
 def distribution(df: DataFrame, key, count_name: str = "count", with_share: bool = False,
-                 drop_null_keys: bool = False, share_name: str = "pct") -> DataFrame:
+                 drop_null_keys: bool = False, share_name: str = "pct",
+                 latest_per: tuple[list[str], list[str]] | None = None) -> DataFrame:
     """COUNT(*) per key; optional share of the total in percent.
 
     The total is a scalar subquery (a partial count, one row per task), so the
     share needs no single-partition window however many keys there are.
+    ``latest_per=(entity_keys, order_cols)`` counts each entity once, by its newest
+    row (a stream that re-sends the same cards counts cards, not events).
     """
+    if latest_per is not None:
+        ids, order = latest_per
+        df = latest_row(df, ids, order, [key] if isinstance(key, str) else list(key))
     src = df.where(C.col_(key).isNotNull()) if drop_null_keys else df
     out = src.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
     if with_share:

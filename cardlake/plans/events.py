@@ -223,3 +223,19 @@ def topic_counters(spark, sf):
                              ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"]))
             .unionByName(one(o, "decks", "o_totalprice", "o_orderkey", ["o_orderdate", "o_orderkey"]))
             .unionByName(one(ev, "events", "value", "event_type", ["ts", "event_id"])))
+
+
+@register("rarity_distribution_latest", """
+WITH l AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id),
+e AS (SELECT event_type, COUNT(*) AS events FROM events GROUP BY event_type),
+c AS (SELECT event_type, COUNT(*) AS cards FROM l GROUP BY event_type)
+SELECT e.event_type, e.events, COALESCE(c.cards, 0) AS cards FROM e LEFT JOIN c ON e.event_type = c.event_type
+""")
+def rarity_distribution_latest(spark, sf):
+    """A card stream re-sends cards: count per category both per event and per card
+    (each card's newest event), here with users as cards and event types as categories."""
+    ev = _events(spark, sf)
+    per_event = A.distribution(ev, "event_type", count_name="events")
+    per_card = A.distribution(ev, "event_type", count_name="cards", latest_per=(["user_id"], ["ts", "event_id"]))
+    return per_event.join(per_card, "event_type", "left").select(
+        "event_type", "events", F.coalesce("cards", F.lit(0)).alias("cards"))
