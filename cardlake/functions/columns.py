@@ -14,10 +14,6 @@ CLI_BLANKS = " \t\n\r"
 # \t \n \v \f \r space U+0085 U+00A0 U+1680 U+2000..U+200A U+2028 U+2029 U+202F U+205F U+3000
 UNICODE_SPACES = ("\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
                   + "\u2028\u2029\u202f\u205f\u3000")
-UNICODE_SPACE_CLASS = (
-    r"[\t\n\x{0B}\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
 # Go regexp \s (RE2 Perl class): tab, newline, form feed, carriage return, space.
 RE2_PERL_SPACE = r"[\t\n\f\r ]"
 # Word separators of Go's strings.Title: every ASCII byte except letters,
@@ -191,7 +187,7 @@ def epoch_ms_text(ms, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
 
 
 def compact_number(n) -> Column:
-    """1234567 -> '1.2M', 3456 -> '3.5K', else the plain integer with thousands separators.
+    """1234567 -> '1.2M', 3456 -> '3.5K', below 1000 the plain integer.
 
     Rounding is half-up on the exact integer value (tenths of a thousand/million).
     """
