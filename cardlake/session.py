@@ -29,6 +29,20 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (~100 TB inputs, ~1000 executors); pass as ``extra``.
+# Shuffles start with many partitions and AQE coalesces them to ~128 MB each, so a
+# stage never holds more than a few hundred MB per task whatever the input size;
+# input splits of 256 MB keep the task count of a 100 TB scan near 400k.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "cardlake", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the job defaults.
