@@ -201,7 +201,7 @@ def interval_join_within(spark, sf):
 SELECT 'cards' AS topic, COUNT(*) AS messages, NULL::DOUBLE AS avg_price, arg_max(p_name, p_partkey) AS latest_key FROM part
 UNION ALL
 SELECT 'prices', COUNT(*), CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice),
-       CAST(arg_max(l_partkey, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice)) AS VARCHAR) FROM lineitem
+       CAST(arg_max(l_partkey, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice, l_partkey)) AS VARCHAR) FROM lineitem
 UNION ALL
 SELECT 'decks', COUNT(*), CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice),
        CAST(arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS VARCHAR) FROM orders
@@ -220,7 +220,7 @@ def topic_counters(spark, sf):
 
     return (one(part, "cards", None, "p_name", ["p_partkey"])
             .unionByName(one(li, "prices", "l_extendedprice", "l_partkey",
-                             ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"]))
+                             ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey"]))
             .unionByName(one(o, "decks", "o_totalprice", "o_orderkey", ["o_orderdate", "o_orderkey"]))
             .unionByName(one(ev, "events", "value", "event_type", ["ts", "event_id"])))
 
