@@ -78,7 +78,19 @@ def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
 
 def write_enriched_parquet(df: DataFrame, path: str, partition_col: str | None = None,
                            max_records_per_file: int = 1_000_000) -> None:
-    w = df.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
+    """Append rows as Parquet; with ``partition_col`` only the partitions present in
+    ``df`` are replaced (dynamic overwrite), so re-writing a micro-batch under its own
+    batch id replaces it instead of duplicating it."""
+    w = df.write.option("maxRecordsPerFile", max_records_per_file)
     if partition_col:
-        w = w.partitionBy(partition_col)
+        df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        w = w.mode("overwrite").partitionBy(partition_col)
+    else:
+        w = w.mode("append")
     w.parquet(path)
+
+
+def write_batch_json(df: DataFrame, path: str, batch_id: int) -> None:
+    """JSON lines under ``batch_id=<n>``; a replayed micro-batch replaces its folder."""
+    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").json(path)

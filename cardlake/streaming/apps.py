@@ -18,6 +18,7 @@ from cardlake import schemas
 from cardlake.functions import columns as C
 from cardlake.operators import aggregates as A
 from cardlake.operators import joins as J
+from cardlake.operators import sinks as S
 from cardlake.session import checkpoint_path
 from cardlake.sources import envelopes as E
 from cardlake.streaming import jobs as SJ
@@ -75,11 +76,14 @@ def price_batch(cards_table: str, out_dir: str, alert_threshold: float = 500.0):
             cards = spark.createDataFrame([], "card_uuid string, name string, rarity string, card_type string")
         e = J.enrich_prices(batch, cards).persist()
         try:
-            e.write.mode("append").parquet(os.path.join(out_dir, "enriched-prices"))
-            (e.where(F.col("price") > alert_threshold)
-             .select("card_uuid", F.col("name").alias("card_name"), "price", F.col("date").alias("price_date"),
-                     C.alert_message("name", "price").alias("alert_message"))
-             .write.mode("append").json(os.path.join(out_dir, "price-alerts")))
+            # outputs are keyed by batch id: a replayed batch replaces, never duplicates
+            S.write_enriched_parquet(e.withColumn("batch_id", F.lit(batch_id)),
+                                     os.path.join(out_dir, "enriched-prices"), partition_col="batch_id")
+            S.write_batch_json(e.where(F.col("price") > alert_threshold)
+                               .select("card_uuid", F.col("name").alias("card_name"), "price",
+                                       F.col("date").alias("price_date"),
+                                       C.alert_message("name", "price").alias("alert_message")),
+                               os.path.join(out_dir, "price-alerts"), batch_id)
         finally:
             e.unpersist()
     return write

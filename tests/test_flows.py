@@ -70,3 +70,24 @@ def test_card_and_price_flows(spark, tmp):
     assert alerts == ["ALERT:  is priced at $700.0", "ALERT: Lotus is priced at $900.0"]
     assert spark.sql("SELECT count(*) AS n FROM expensive_cards").first().n == 2
     assert spark.read.parquet(os.path.join(out, "enriched")).count() == 2
+
+
+def test_replayed_micro_batch_does_not_duplicate(spark, tmp):
+    out, tbl = os.path.join(tmp, "out"), os.path.join(tmp, "cards")
+    batch = spark.createDataFrame([("u1", "paper", "ck", "retail", False, "2024-01-01", 900.0)],
+                                  "card_uuid string, format string, source string, type string, foil boolean, "
+                                  "date string, price double")
+    write = apps.price_batch(tbl, out, alert_threshold=500.0)
+    write(batch, 7)
+    write(batch, 7)          # the same micro-batch again after a failure
+    write(batch, 8)
+    assert spark.read.parquet(os.path.join(out, "enriched-prices")).count() == 2
+    assert spark.read.json(os.path.join(out, "price-alerts")).count() == 2
+    cards = SJ.card_sink_batch(os.path.join(tmp, "arch"), os.path.join(tmp, "t"), 4)
+    cb = spark.createDataFrame([("u1", "Bolt", None, "Instant", "common", "AAA", T0)],
+                               "uuid string, name string, mana_cost string, type string, rarity string, "
+                               "set_code string, event_ts timestamp")
+    cards(cb, 1)
+    cards(cb, 1)
+    assert spark.read.parquet(os.path.join(tmp, "arch")).count() == 1
+    assert spark.read.parquet(os.path.join(tmp, "t")).count() == 1
