@@ -1,6 +1,7 @@
-"""Command line: deck directory ingest (or dry run) and ad-hoc SQL over the tables.
+"""Command line: deck directory ingest (or dry run), catalogue ingest, ad-hoc SQL.
 
   python -m cardlake.cli decks DIR [--rule cli|library] [--dry-run [--preview N]] [--out EVENTS_DIR]
+  python -m cardlake.cli catalog EVENTS_DIR [--sets LANDED] [--atomic LANDED] [--prices LANDED]
   python -m cardlake.cli sql TABLES_DIR "SELECT ..." [--show N]
 """
 
@@ -9,11 +10,13 @@ from __future__ import annotations
 import argparse
 import json
 import os
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from cardlake import schemas
 from cardlake.session import build_session
+from cardlake.sources import catalog as CAT
 from cardlake.sources import decks as D
 from cardlake.sources import envelopes as E
 from cardlake.sources.tables import observe_rejects
@@ -45,6 +48,36 @@ def ingest_decks(spark, directory: str, rule: str = "cli", out: str | None = Non
     return obs.get
 
 
+def ingest_catalog(spark, out: str, sets_path: str | None = None, atomic_path: str | None = None,
+                   prices_path: str | None = None) -> None:
+    """Landed catalogue dumps (one ``{"key", "doc"}`` JSON object per line) -> event
+    folders standing in for topics: sets (cards stripped, key = set code), cards (one
+    per card of every set and per atomic card, key = uuid) and prices (one per price
+    leaf, key = price-<uuid>-<date>). All events of one ingest share one stamp."""
+    stamp = F.lit(datetime.now(timezone.utc)).cast("timestamp")
+    card_events = []
+    if sets_path:
+        sets, cards = CAT.flatten_sets(CAT.read_landed(spark, sets_path), processed_at=stamp)
+        E.build_envelope(sets, schemas.EVENT_SET, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE,
+                         payload=sets.columns, payload_key="set", timestamp=stamp, key=F.col("code")) \
+            .write.mode("append").json(os.path.join(out, "sets"))
+        card_events.append(cards.drop("set_code"))
+    if atomic_path:
+        card_events.append(CAT.first_variant(CAT.read_landed(spark, atomic_path))
+                           .withColumn("processedAt", stamp.cast("string")))
+    for cards in card_events:
+        E.build_envelope(cards, schemas.EVENT_CARD, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE,
+                         payload=cards.columns, payload_key="card", timestamp=stamp, key=F.col("uuid")) \
+            .write.mode("append").json(os.path.join(out, "cards"))
+    if prices_path:
+        rows = CAT.flatten_price_tree(CAT.read_landed(spark, prices_path))
+        key = F.concat(F.lit("price-"), F.col("card_uuid"), F.lit("-"), F.col("date"))
+        E.build_envelope(rows, schemas.EVENT_PRICE, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE,
+                         payload=["card_uuid", "format", "source", "type", "foil", "date", "price"],
+                         timestamp=stamp, key=key) \
+            .write.mode("append").json(os.path.join(out, "prices"))
+
+
 def run_sql(spark, tables_dir: str, text: str):
     for t in TABLES:
         path = os.path.join(tables_dir, f"{t}.parquet")
@@ -62,6 +95,11 @@ def main(argv=None) -> None:
     d.add_argument("--dry-run", action="store_true")
     d.add_argument("--preview", type=int, default=20)
     d.add_argument("--out")
+    c = sub.add_parser("catalog")
+    c.add_argument("out")
+    c.add_argument("--sets")
+    c.add_argument("--atomic")
+    c.add_argument("--prices")
     q = sub.add_parser("sql")
     q.add_argument("tables_dir")
     q.add_argument("text")
@@ -70,6 +108,8 @@ def main(argv=None) -> None:
     spark = build_session(app_name=f"cardlake-{a.cmd}")
     if a.cmd == "decks":
         print(json.dumps({"line_counts": ingest_decks(spark, a.directory, a.rule, a.out, a.dry_run, a.preview)}))
+    elif a.cmd == "catalog":
+        ingest_catalog(spark, a.out, a.sets, a.atomic, a.prices)
     else:
         run_sql(spark, a.tables_dir, a.text).show(a.show, truncate=False)
 

@@ -56,3 +56,26 @@ def test_suspect_flag(spark):
     got = {r.card_name: r.suspect for r in parsed.collect()}
     assert got == {"Sol Ring -OK": True, "Island -> Swamp": True, "Bolt - proxy": True,
                    "words in a sentence": True, "Lightning Bolt": False}
+
+
+def test_catalog_ingest_to_events(spark, tmp):
+    land = os.path.join(tmp, "land")
+    os.makedirs(land)
+    card = {"uuid": "c1", "name": "Bolt", "setCode": "AAA", "rarity": "common", "colors": ["R"]}
+    with open(os.path.join(land, "sets.jsonl"), "w") as f:
+        f.write(json.dumps({"key": "AAA", "doc": {"code": "AAA", "name": "Alpha", "cards": [card, dict(card, uuid="c2")]}}) + "\n")
+    with open(os.path.join(land, "atomic.jsonl"), "w") as f:
+        f.write(json.dumps({"key": "Bolt", "doc": [{"uuid": "c9", "name": "Bolt"}]}) + "\n")
+    with open(os.path.join(land, "prices.jsonl"), "w") as f:
+        f.write(json.dumps({"key": "c1", "doc": {"paper": {"ck": {"currency": "USD",
+                                                 "retail": {"normal": {"2024-01-01": 1.5, "2024-01-02": 2}}}}}}) + "\n")
+    out = os.path.join(tmp, "events")
+    cli.ingest_catalog(spark, out, os.path.join(land, "sets.jsonl"), os.path.join(land, "atomic.jsonl"),
+                       os.path.join(land, "prices.jsonl"))
+    sets = spark.read.json(os.path.join(out, "sets")).collect()
+    cards = spark.read.json(os.path.join(out, "cards")).collect()
+    prices = spark.read.json(os.path.join(out, "prices")).collect()
+    assert [r.key for r in sets] == ["AAA"] and "cards" not in json.loads(sets[0].value)["set"]
+    assert sorted(r.key for r in cards) == ["c1", "c2", "c9"]
+    assert sorted(r.key for r in prices) == ["price-c1-2024-01-01", "price-c1-2024-01-02"]
+    assert {json.loads(r.value)["eventType"] for r in cards} == {"card.created"}
