@@ -79,3 +79,9 @@ def test_catalog_ingest_to_events(spark, tmp):
     assert sorted(r.key for r in cards) == ["c1", "c2", "c9"]
     assert sorted(r.key for r in prices) == ["price-c1-2024-01-01", "price-c1-2024-01-02"]
     assert {json.loads(r.value)["eventType"] for r in cards} == {"card.created"}
+
+
+def test_read_table_with_schema(spark):
+    from cardlake.sources.tables import read_table
+    df = read_table(spark, "/root/testdata/sf0.001/region.parquet", schema=None)
+    assert df.count() == 5 and "r_name" in df.columns

@@ -38,3 +38,55 @@ def test_progress_counters(spark, tmp):
     c = SJ.progress_counters(q)
     q.stop()
     assert c["num_input_rows"] == 7 and sum(c["sources"].values()) == 7
+
+
+# ---- price tree: random documents with junk, against a plain walk of the same rules
+import json  # noqa: E402
+
+from cardlake.sources import catalog as CAT  # noqa: E402
+
+KEYS = st.sampled_from(["paper", "mtgo", "ck", "tcg", "retail", "buylist", "normal", "foil", "etched",
+                        "2024-01-01", "2024-01-02"])
+LEAF_JUNK = st.one_of(st.text(max_size=3), st.none(), st.booleans())
+JUNK = st.dictionaries(st.sampled_from(["currency", "note"]), st.one_of(LEAF_JUNK, st.lists(LEAF_JUNK, max_size=2)),
+                       max_size=1)
+LEAF = st.one_of(st.integers(-10 ** 6, 10 ** 6), st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False),
+                 st.text(max_size=3), st.none(), st.booleans())
+
+
+def _level(depth):
+    """format -> source -> type -> finish -> date -> price, with junk siblings (text, null,
+    booleans, lists) at every level and junk leaves among the prices."""
+    if depth == 0:
+        return LEAF
+    children = st.dictionaries(KEYS, _level(depth - 1), min_size=1, max_size=2)
+    return st.builds(lambda c, j: {**c, **j}, children, JUNK)
+
+
+def _walk(uuid, node, path, out):
+    if len(path) == 4:                     # node should be {date: price}
+        for date, price in (node.items() if isinstance(node, dict) else []):
+            if isinstance(price, (int, float)) and not isinstance(price, bool):
+                out.append((uuid, *path, path[3] == "foil", date, float(price)))
+        return
+    if isinstance(node, dict):
+        for k, v in node.items():
+            _walk(uuid, v, path + [k], out)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3"]), _level(5)), min_size=1, max_size=12))
+def test_price_tree_matches_plain_walk(spark, docs):
+    df = spark.createDataFrame([(u, json.dumps(d)) for u, d in docs], "key string, doc string")
+    got = sorted((r.card_uuid, r.format, r.source, r.type, r.finish, r.foil, r.date, r.price)
+                 for r in CAT.flatten_price_tree(df).collect())
+    want = []
+    for u, d in docs:
+        _walk(u, d, [], want)
+    assert got == sorted(want)
+
+
+def test_price_tree_walk_is_not_vacuous():
+    out = []
+    _walk("u", {"paper": {"ck": {"retail": {"foil": {"2024-01-01": 2, "x": "7"}}}}}, [], out)
+    assert out == [("u", "paper", "ck", "retail", "foil", True, "2024-01-01", 2.0)]
