@@ -24,7 +24,7 @@ def enrich_prices(prices: DataFrame, cards_latest: DataFrame, price_key: str = "
 
 def asof_join(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str, version_ts: str,
               version_cols: list[str], version_tiebreak: str | None = None,
-              bucket: str = "1 day") -> DataFrame:
+              bucket: str = "1 hour") -> DataFrame:
     """For every fact, the newest version with the same key and version_ts <= fact_ts
     (LEFT semantics: facts without an earlier version get NULLs).
 
@@ -33,7 +33,9 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str, ver
     version; the newest version of any *earlier* bucket comes from a per-(key,
     bucket) summary (one row per bucket, built with a partial aggregate) carried
     forward by a window over buckets. A hot key is therefore spread over its
-    buckets instead of being sorted in a single task.
+    buckets instead of being sorted in a single task. Pick ``bucket`` so that one
+    key's rows in one bucket fit a task; finer buckets only add one small row per
+    non-empty (key, bucket) to the carry-in step.
     """
     vt = version_tiebreak or version_ts
     vstruct = F.struct(*[F.col(c).alias(c) for c in version_cols])
