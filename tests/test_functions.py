@@ -48,3 +48,10 @@ def test_color_category_missing_option(spark):
     df = spark.createDataFrame([(None,)], "colors array<string>")
     r = df.select(C.color_category("colors"), C.color_category("colors", missing_as_colorless=True)).first()
     assert tuple(r) == ("Unknown", "Colorless")
+
+
+def test_flexible_timestamp_nanos_and_offsets(spark):
+    df = spark.createDataFrame([("2024-01-01T02:00:00.123456789+02:00",), ("2024-01-01T00:00:00Z",), ("-1000",)],
+                               "t string")
+    got = [r[0] for r in df.select(F.date_format(C.flexible_timestamp("t"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).collect()]
+    assert got == ["2024-01-01 00:00:00.123456", "2024-01-01 00:00:00.000000", "1969-12-31 23:59:59.000000"]

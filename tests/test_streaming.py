@@ -143,7 +143,7 @@ def test_dedupe_replays_on_business_key(spark, tmp):
     assert sorted(r.card_uuid for r in spark.sql("SELECT * FROM dedup").collect()) == ["u1", "u2"]
 
 
-def test_card_pipeline_sinks(spark, tmp):
+def test_card_flow_sinks(spark, tmp):
     src = os.path.join(tmp, "cards")
 
     def card(u, name, rarity, t, colors=None):
@@ -166,3 +166,10 @@ def test_card_pipeline_sinks(spark, tmp):
     _drain(stats_q)
     r = spark.sql("SELECT * FROM set_stats").collect()
     assert [(x.set_code, x.total_cards, x.rare_count, x.mythic_count) for x in r] == [("AAA", 3, 1, 1)]
+
+
+def test_kafka_source_needs_the_connector(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        SJ.kafka_source(spark, "localhost:9", "cards")
