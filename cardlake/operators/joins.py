@@ -145,3 +145,35 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     """Child rows whose key has no parent row (a failed REFERENCES check)."""
     p = parent.select(F.col(parent_key).alias("_pk")).distinct()
     return child.join(p, child[child_key] == p["_pk"], "left_anti")
+
+
+def reference_checks(refs: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """Many REFERENCES checks in one pass: (relation, child rows, orphan child rows,
+    childless parent keys) per relation.
+
+    refs: (relation, child, child_key, parent, parent_key). Every child table is read
+    once per relation it takes part in and all relations share one join on
+    (relation, key) instead of one join pipeline each. Integral keys are compared as
+    bigint, anything else as text.
+    """
+    types = {df.schema[k].dataType.simpleString() for _, c, ck, p, pk in refs for df, k in ((c, ck), (p, pk))}
+    key_type = "bigint" if types <= {"tinyint", "smallint", "int", "bigint"} else "string"
+
+    def tagged(df: DataFrame, rel: str, key: str) -> DataFrame:
+        return df.select(F.lit(rel).alias("relation"), F.col(key).cast(key_type).alias("_k"))
+
+    child = None
+    parent = None
+    for rel, c, ck, p, pk in refs:
+        child = tagged(c, rel, ck) if child is None else child.unionByName(tagged(c, rel, ck))
+        parent = tagged(p, rel, pk) if parent is None else parent.unionByName(tagged(p, rel, pk))
+    parent = parent.where(F.col("_k").isNotNull()).distinct()
+    marked = child.join(parent.withColumn("_has_parent", F.lit(True)), ["relation", "_k"], "left")
+    child_stats = marked.groupBy("relation").agg(
+        F.count(F.lit(1)).alias("child_rows"),
+        F.count_if(F.col("_has_parent").isNull() & F.col("_k").isNotNull()).alias("orphan_rows"))
+    childless = (parent.join(child.where(F.col("_k").isNotNull()).distinct(), ["relation", "_k"], "left_anti")
+                 .groupBy("relation").agg(F.count(F.lit(1)).alias("childless_parents")))
+    return child_stats.join(childless, "relation", "left").select(
+        "relation", "child_rows", "orphan_rows",
+        F.coalesce(F.col("childless_parents"), F.lit(0)).alias("childless_parents"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardlake.operators import joins as J
 from cardlake.operators import sinks as S
 from cardlake.plans import register, table
 
@@ -21,25 +22,6 @@ REFERENCES = [
 ]
 
 
-def reference_summary(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
-                      relation: str) -> DataFrame:
-    """Rows of ``child``, rows whose key has no parent (orphans), and parents without any child,
-    computed as one aggregate over tagged rows (no cartesian combination of counts)."""
-    ck = child.select(F.col(child_key).alias("_k"))
-    pk = parent.select(F.col(parent_key).alias("_k")).distinct()
-    child_rows = ck.join(pk.withColumn("_has_parent", F.lit(True)), "_k", "left").select(
-        F.lit(1).alias("_child"),
-        (F.col("_has_parent").isNull() & F.col("_k").isNotNull()).alias("_orphan"),
-        F.lit(0).alias("_childless"))
-    childless = pk.join(ck.distinct(), "_k", "left_anti").select(
-        F.lit(0).alias("_child"), F.lit(False).alias("_orphan"), F.lit(1).alias("_childless"))
-    return child_rows.unionByName(childless).agg(
-        F.lit(relation).alias("relation"),
-        F.sum("_child").cast("bigint").alias("child_rows"),
-        F.count_if("_orphan").alias("orphan_rows"),
-        F.sum("_childless").cast("bigint").alias("childless_parents"))
-
-
 def _sql_ref(rel, child, ck, parent, pk):
     return (f"SELECT '{rel}' AS relation, (SELECT COUNT(*) FROM {child}) AS child_rows, "
             f"(SELECT COUNT(*) FROM {child} WHERE {ck} IS NOT NULL AND {ck} NOT IN (SELECT {pk} FROM {parent} WHERE {pk} IS NOT NULL)) AS orphan_rows, "
@@ -48,12 +30,14 @@ def _sql_ref(rel, child, ck, parent, pk):
 
 @register("orphan_check", "\nUNION ALL\n".join(_sql_ref(*r) for r in REFERENCES))
 def orphan_check(spark, sf):
-    """Every declared REFERENCES relation checked as a batch job."""
-    out = None
-    for rel, child, ck, parent, pk in REFERENCES:
-        r = reference_summary(table(spark, sf, child), table(spark, sf, parent), ck, pk, rel)
-        out = r if out is None else out.unionByName(r)
-    return out
+    """Every declared REFERENCES relation checked as one batch job (one shared join)."""
+    tables = {}
+
+    def t(name):
+        if name not in tables:
+            tables[name] = table(spark, sf, name)
+        return tables[name]
+    return J.reference_checks([(rel, t(child), ck, t(parent), pk) for rel, child, ck, parent, pk in REFERENCES])
 
 
 @register("upsert_latest_wins", """
