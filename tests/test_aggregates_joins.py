@@ -98,3 +98,11 @@ def test_write_upsert_is_idempotent(spark, tmp):
     again = sorted(tuple(r) for r in spark.read.parquet(path).drop("_bucket").collect())
     assert first == again
     assert {r[0]: r[1] for r in first} == {"a": "A2", "b": "B"}
+
+
+def test_null_group_key_kept_or_dropped(spark):
+    # D13: SQL keeps a NULL group; the stream engine of the source dropped it
+    df = spark.createDataFrame([("rare",), (None,), (None,)], "rarity string")
+    kept = {r.rarity: r.n for r in A.distribution(df, "rarity", count_name="n").collect()}
+    dropped = {r.rarity: r.n for r in A.distribution(df, "rarity", count_name="n", drop_null_keys=True).collect()}
+    assert kept == {"rare": 1, None: 2} and dropped == {"rare": 1}

@@ -71,3 +71,11 @@ def test_summary_counts_lines_not_names(spark):
     assert s["e.deck"].total_cards == 0 and s["e.deck"].unique_cards == 0
     assert s["r.deck"].distinct_names == 2 and s["e.deck"].distinct_names == 0
     assert len(s["r.deck"].id) == 36
+
+
+def test_deck_id_is_stable_across_ingests(spark):
+    # D10: re-ingesting the same file must not add a new deck to the portfolio
+    df = spark.createDataFrame([("/d/a.deck", "1 X")], "file_path string, line string")
+    first = D.summarise_decks(D.parse_deck_lines(df, keep_rejects=True)).first().id
+    again = D.summarise_decks(D.parse_deck_lines(df.union(df), keep_rejects=True)).collect()
+    assert len(again) == 1 and again[0].id == first
