@@ -53,16 +53,19 @@ def child_tables(cards: DataFrame, key: str = "uuid", legalities: str | None = "
 
 def to_price_table(rows: DataFrame, order_cols: list[str], uuid_col: str = "card_uuid",
                    source_col: str = "source", foil_col: str = "foil", date_col: str = "date",
-                   price_col: str = "price", currency_col: str | None = None) -> DataFrame:
+                   price_col: str = "price", currency_col: str = "currency",
+                   default_currency: str = "USD") -> DataFrame:
     """Flattened price rows -> card_prices shape, one row per unique key
     (card_uuid, source, price_type, price_date), newest row (by ``order_cols``) wins.
-    price_type is 'foil' / 'normal'; price is DECIMAL(10,2); date a DATE."""
+    price_type is 'foil' / 'normal'; price is DECIMAL(10,2); date a DATE; currency comes
+    from the flattened tree's currency sibling when present, else ``default_currency``."""
     shaped = rows.select(
         F.col(uuid_col).alias("card_uuid"), F.col(source_col).alias("source"),
         F.when(F.col(foil_col), "foil").otherwise("normal").alias("price_type"),
         F.to_date(F.col(date_col)).alias("price_date"),
         F.col(price_col).cast("decimal(10,2)").alias("price"),
-        (F.col(currency_col) if currency_col else F.lit("USD")).alias("currency"),
+        (F.coalesce(F.col(currency_col), F.lit(default_currency)) if currency_col in rows.columns
+         else F.lit(default_currency)).alias("currency"),
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
     )
     return latest_row(shaped, ["card_uuid", "source", "price_type", "price_date"],

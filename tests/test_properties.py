@@ -63,30 +63,33 @@ def _level(depth):
     return st.builds(lambda c, j: {**c, **j}, children, JUNK)
 
 
-def _walk(uuid, node, path, out):
+def _walk(uuid, node, path, out, currency=None):
     if len(path) == 4:                     # node should be {date: price}
         for date, price in (node.items() if isinstance(node, dict) else []):
             if isinstance(price, (int, float)) and not isinstance(price, bool):
-                out.append((uuid, *path, path[3] == "foil", date, float(price)))
+                out.append((uuid, *path, path[3] == "foil", date, float(price), currency))
         return
     if isinstance(node, dict):
+        if len(path) == 2:                 # a source node: its text 'currency' sibling
+            c = node.get("currency")
+            currency = c if isinstance(c, str) else None
         for k, v in node.items():
-            _walk(uuid, v, path + [k], out)
+            _walk(uuid, v, path + [k], out, currency)
 
 
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3"]), _level(5)), min_size=1, max_size=12))
 def test_price_tree_matches_plain_walk(spark, docs):
     df = spark.createDataFrame([(u, json.dumps(d)) for u, d in docs], "key string, doc string")
-    got = sorted((r.card_uuid, r.format, r.source, r.type, r.finish, r.foil, r.date, r.price)
-                 for r in CAT.flatten_price_tree(df).collect())
+    got = [(r.card_uuid, r.format, r.source, r.type, r.finish, r.foil, r.date, r.price, r.currency)
+           for r in CAT.flatten_price_tree(df).collect()]
     want = []
     for u, d in docs:
         _walk(u, d, [], want)
-    assert got == sorted(want)
+    assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
 def test_price_tree_walk_is_not_vacuous():
     out = []
-    _walk("u", {"paper": {"ck": {"retail": {"foil": {"2024-01-01": 2, "x": "7"}}}}}, [], out)
-    assert out == [("u", "paper", "ck", "retail", "foil", True, "2024-01-01", 2.0)]
+    _walk("u", {"paper": {"ck": {"currency": "USD", "retail": {"foil": {"2024-01-01": 2, "x": "7"}}}}}, [], out)
+    assert out == [("u", "paper", "ck", "retail", "foil", True, "2024-01-01", 2.0, "USD")]
