@@ -1,4 +1,4 @@
-"""Joins: lookup (left) join, as-of join, interval join, deck valuation, orphans.
+"""Joins: lookup (left) join, as-of join, interval join, deck valuation, reference checks.
 
 No broadcast hints are forced: Spark broadcasts a side only when its estimated
 size is under ``spark.sql.autoBroadcastJoinThreshold`` and, with AQE, re-plans a

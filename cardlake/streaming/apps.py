@@ -1,4 +1,4 @@
-"""The three continuous flows wired from the jobs in ``streaming.jobs``.
+"""The continuous flows (cards, deck values, portfolio, prices) wired from ``streaming.jobs``.
 
 Each function starts its streaming queries and returns them; sources are any
 (key, value) message streams (Kafka topics on a cluster, landed files in tests).
