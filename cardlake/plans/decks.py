@@ -321,7 +321,7 @@ def deck_value_priced(spark, sf):
     part = table(spark, sf, "part").where(F.col("p_type") != "PROMO")
     catalogue = part.select(F.concat(F.lit("Part "), F.col("p_partkey").cast("string")).alias("name"),
                             F.col("p_partkey").cast("string").alias("uuid"))
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"))  # sort-based latest-price aggregate: use every core
     prices = li.select(F.col("l_partkey").cast("string").alias("card_uuid"), F.col("l_extendedprice").alias("price"),
                        "l_shipdate", "l_orderkey", "l_linenumber")
     return J.value_decks(cards, catalogue, prices,

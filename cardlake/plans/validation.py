@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cardlake.operators import joins as J
 from cardlake.operators import sinks as S
 from cardlake.plans import register, table
+from cardlake.session import spread
 
 # (relation, child table, child key, parent table, parent key)
 REFERENCES = [
@@ -61,7 +62,7 @@ def upsert_latest_wins(spark, sf):
                          F.col("p_retailprice").alias("price"),
                          F.lit("1994-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
                          F.lit("1994-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"))
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"))  # sort-based newest-update aggregate: use every core
     updates = li.select(F.col("l_partkey").cast("string").alias("uuid"),
                         F.concat(F.lit("Part "), F.col("l_partkey").cast("string"), F.lit(" rev "),
                                  F.col("l_orderkey").cast("string")).alias("name"),
