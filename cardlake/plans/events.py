@@ -17,6 +17,7 @@ from cardlake.functions import columns as C
 from cardlake.operators import aggregates as A
 from cardlake.operators import joins as J
 from cardlake.plans import register, table
+from cardlake.session import spread
 from cardlake.sources import envelopes as E
 
 PROPS = StructType([StructField("k", LongType())])
@@ -49,7 +50,8 @@ SELECT event_id AS "offset",
 FROM events
 """)
 def envelope_decode(spark, sf):
-    d = E.decode_envelope(events_as_messages(_events(spark, sf)), PROPS, keep=("offset",))
+    msgs = events_as_messages(spread(_events(spark, sf)))  # JSON parse per message: use every core
+    d = E.decode_envelope(msgs, PROPS, keep=("offset",))
     return d.select("offset", "eventType", "eventId", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"),
                     "source", F.col("data.k").alias("k"), "_error")
 
