@@ -400,7 +400,7 @@ ORDER BY deck_name, is_sideboard, cmc, card_name
 def deck_composition_view(spark, sf):
     """decks ⋈ deck_cards ⋈ cards, ordered by deck, sideboard, cmc, name."""
     o = table(spark, sf, "orders").select("o_orderkey")
-    li = spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+    li = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag"))
     p = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
     j = o.join(li, o["o_orderkey"] == li["l_orderkey"]).join(p, li["l_partkey"] == p["p_partkey"])
     out = j.select(F.col("o_orderkey").alias("deck_id"),
