@@ -103,7 +103,7 @@ def test_price_alerts_stream_static_join(spark, tmp):
 
 def _value(deck, total, t, n=100):
     return {"eventType": "deck.value.calculated", "eventId": f"{deck}{_ms(t)}", "timestamp": _ms(t),
-            "source": "flink-deck-processor", "version": "v1",
+            "source": schemas.SOURCE_DECK_VALUES, "version": "v1",
             "data": {"deck_id": deck, "deck_name": deck, "total_cards": n, "total_value": total,
                      "calculated_at": _ms(t)}}
 
