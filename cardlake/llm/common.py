@@ -62,7 +62,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
     return df.mapInArrow(run, schema)
 
 
-def blocks(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def blocks(texts: list[bytes], limit: int = 1 << 16) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``limit`` bytes each (a longer text is alone in its range)."""
     start, size = 0, 0
     for i, t in enumerate(texts):

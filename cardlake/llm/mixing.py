@@ -110,17 +110,19 @@ def land(p: list[float], size: list[int]) -> None:
 
 
 def mix_sources(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id",
-                weights: Sequence[float] = WEIGHTS, cap: int = CAP, block: int = BLOCK, seed: int = 7) -> DataFrame:
+                weights: Sequence[float] = WEIGHTS, cap: int = CAP, block: int = BLOCK, seed: int = 7,
+                row_col: str | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target, copies (times the mix takes the row), taken
-    (copies * size) for every row.
+    (copies * size) for every row; with ``row_col`` (a unique long) also rid.
 
     Reruns agree: blocks and their order come from a hash of doc_id and text, the random
     numbers from the seed and the block. Null text has size 0, null sources are one source.
     A source of size 0 has target 0 and copies 0. Rows repeating doc_id and text are decided
     one by one (they share a block). An empty table gives an empty table.
     """
-    sized = materialise(sizes(docs, text_col, source_col, [id_col]).select(
-        F.col("row")[id_col].cast("long").alias("doc_id"), "source", "size", "check"), "mix-sizes")
+    rid = F.col("row")[row_col] if row_col else F.lit(None)
+    sized = materialise(sizes(docs, text_col, source_col, [id_col, row_col] if row_col else [id_col]).select(
+        F.col("row")[id_col].cast("long").alias("doc_id"), rid.cast("long").alias("rid"), "source", "size", "check"), "mix-sizes")
     targets = source_targets(sized, weights, cap)
     ratio = F.when(F.col("source_size") > 0, F.least(F.lit(float(cap)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     units = (sized.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
@@ -151,5 +153,5 @@ def mix_sources(docs: DataFrame, text_col: str = "text", source_col: str = "sour
         rounds = -(-rounds // wide) if rounds > 1 else 0
     copies = (F.col("whole") + F.col("p")).cast("int")
     return reduce(DataFrame.unionByName, decided).select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
+        "doc_id", *(["rid"] if row_col else []), "source", "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"))

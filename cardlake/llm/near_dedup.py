@@ -7,10 +7,10 @@ some child with constant probability. Small nodes are compared exhaustively, lar
 branch on. Copies of a set are one representative.
 
 What keeps groups of thousands linear: a node first compares its documents with one of them
-(the pivot); confirmed links merge into components, and only documents of different
-components are compared from then on. Candidates pass a one-bit sketch of the signature and
-are confirmed on full shingle sets. A node that is still large at the last level is
-compared exhaustively in blocks.
+(the pivot), a large one then with another; confirmed links merge into components, and only
+documents of different components are compared from then on. Candidates pass a one-bit
+sketch of the signature and are confirmed on full shingle sets. A node that is still large
+at the last level is compared exhaustively in blocks.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
@@ -33,7 +33,7 @@ SIMILARITY = 75      # per cent: links have 100 * intersection >= 75 * union
 POSITIONS = 64       # of the signature
 TREES = 12           # at depth 3 a pair of similarity 0.75 is missed by all with p < 0.005
 SMALL = 64           # documents of a node that is compared exhaustively
-DEPTH = 6            # levels of branching; larger nodes are then compared in blocks
+DEPTH = 4            # levels of branching; larger nodes are then compared in blocks
 BITS_APART = 19      # of 64 sketch bits; a pair of similarity 0.75 differs in more with p < 0.0002
 _U = np.uint64
 _RANDOM = np.random.Generator(np.random.PCG64(75))
@@ -57,8 +57,8 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     """The smallest value of each of the min-wise hash functions."""
     out = np.full(POSITIONS, 0xFFFFFFFF, np.uint32)
     for a in range(0, len(shingles), 2048):
-        values = (shingles[a:a + 2048, None] * _A[None, :] + _B[None, :]) >> _U(32)
-        np.minimum(out, values.min(axis=0).astype(np.uint32), out=out)
+        values = shingles[None, a:a + 2048] * _A[:, None] + _B[:, None]
+        np.minimum(out, (values.min(axis=1) >> _U(32)).astype(np.uint32), out=out)
     return out
 
 
@@ -87,12 +87,13 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return (mix(x) >> _U(11)).astype(np.float64) / float(1 << 53)
 
 
-def _chosen(node: np.ndarray) -> np.ndarray:
+def _chosen(node: np.ndarray, root: bool) -> np.ndarray:
     """For each node the positions it branches on (nodes x positions): each with probability
-    1 / (similarity * positions), but one at least."""
+    1 / (similarity * positions), at a tree's root one at least."""
     u = _uniform(node[:, None] * _U(0x9E3779B97F4A7C15) + _A[None, :])
     pick = u < 100 / (SIMILARITY * POSITIONS)
-    pick[np.arange(len(node)), u.argmin(axis=1)] = True
+    if root:
+        pick[np.arange(len(node)), u.argmin(axis=1)] = True
     return pick
 
 
@@ -107,10 +108,10 @@ def _signatures(batch: pa.RecordBatch) -> np.ndarray:
 _NODES = "node long, id long, n long, bits long"
 
 
-def _branch(batch: pa.RecordBatch, nodes: np.ndarray) -> pa.RecordBatch:
+def _branch(batch: pa.RecordBatch, nodes: np.ndarray, root: bool) -> pa.RecordBatch:
     """Rows of the children of ``nodes`` (one node per row of the batch)."""
     sig = _signatures(batch)
-    row, position = np.nonzero(_chosen(nodes))
+    row, position = np.nonzero(_chosen(nodes, root))
     child = _child(nodes[row], position, sig[row, position]).view(np.int64)
     kept = batch.select(["id", "n", "bits"]).take(pa.array(row))
     return pa.RecordBatch.from_arrays([pa.array(child), *kept.columns], ["node", "id", "n", "bits"])
@@ -121,13 +122,13 @@ def _first_level(reps: DataFrame) -> DataFrame:
         for batch in batches:
             for tree in range(TREES):
                 if batch.num_rows:
-                    yield _branch(batch, np.full(batch.num_rows, mix(np.array([tree + 1], np.uint64))[0]))
+                    yield _branch(batch, np.full(batch.num_rows, mix(np.array([tree + 1], np.uint64))[0]), True)
     return reps.select("id", "n", "bits", "sig").mapInArrow(run, _NODES)
 
 
 def _next_level(large: DataFrame, reps: DataFrame) -> DataFrame:
     rows = large.select("node", "id", "n", "bits").join(reps.select("id", "sig"), "id")
-    return map_batches(rows, lambda b: _branch(b, b.column("node").to_numpy().view(np.uint64)), _NODES)
+    return map_batches(rows, lambda b: _branch(b, b.column("node").to_numpy().view(np.uint64), False), _NODES)
 
 
 # ---------------------------------------------------------------- candidates and confirmation
@@ -145,19 +146,19 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _open_nodes(rows: DataFrame) -> DataFrame:
-    """The rows of nodes with documents of more than one component, with the node's count and
-    pivot (the smallest id; ids are random numbers)."""
-    nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("pivot"),
+    """The rows of nodes with documents of more than one component, with the node's count and its
+    pivots, the smallest and the largest id (ids are random numbers)."""
+    nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("least"), F.max("id").alias("most"),
                                      F.min("label").alias("low"), F.max("label").alias("high"))
     return rows.join(nodes.where("low != high").drop("low", "high"), "node")
 
 
-def _stars(rows: DataFrame) -> DataFrame:
+def _stars(rows: DataFrame, pivot: str) -> DataFrame:
     """Pairs of a document and its node's pivot; of a document's pivots the smallest."""
-    pivots = rows.where("id = pivot").select(
+    pivots = rows.where(F.col("id") == F.col(pivot)).select(
         "node", F.col("n").alias("n2"), F.col("bits").alias("bits2"), F.col("label").alias("label2"))
-    return (rows.join(pivots, "node").where("id != pivot and label != label2").where(_may_link("n", "n2", "bits", "bits2"))
-            .groupBy("id").agg(F.min("pivot").alias("v")).select(F.col("id").alias("u"), "v"))
+    return (rows.join(pivots, "node").where("label != label2").where(_may_link("n", "n2", "bits", "bits2"))
+            .groupBy("id").agg(F.min(pivot).alias("v")).select(F.col("id").alias("u"), "v"))
 
 
 def _exhaustive(rows: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -243,46 +244,43 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
         StructField("digest", BinaryType()), classes.schema["head"], StructField("sig", BinaryType())])), "near-classes")
 
     labels: DataFrame | None = None
-    edges: list[DataFrame] = []
     sets: DataFrame | None = None
-    waiting: DataFrame | None = None   # candidates of the level before
-    level = materialise(_open_nodes(_labelled(_first_level(reps), None)), "near-level")
-    for depth in range(1, DEPTH + 1):
-        pairs = _stars(level)
-        if waiting is not None:
-            pairs = pairs.unionByName(waiting).distinct()
-        pairs = materialise(pairs, "near-pairs")
-        if not pairs.isEmpty():
-            ids = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-            if sets is not None:
-                ids = ids.join(sets, "id", "left_anti")
-            more = _fetch_sets(docs, reps, ids, text_col, key_col)
-            sets = more if sets is None else sets.unionByName(more)
-            found = materialise(_confirm(pairs, sets), "near-edges")
-            if not found.isEmpty():
-                edges.append(found)
-                labels = components(reduce(DataFrame.unionByName, edges))
-        elif waiting is None:
-            pass
-        level = materialise(_open_nodes(_labelled(level.select("node", "id", "n", "bits"), labels)), "near-level")
-        if level.isEmpty():
-            break
-        waiting = _exhaustive(level.where(F.col("docs") <= SMALL), ["node"])
+    edges: list[DataFrame] = []
+
+    def merge(pairs: DataFrame) -> None:
+        """Confirm candidates on full sets and merge the components of those that hold."""
+        nonlocal labels, sets
+        pairs = materialise(pairs.distinct(), "near-pairs")
+        if pairs.isEmpty():
+            return
+        ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+        more = _fetch_sets(docs, reps, ids if sets is None else ids.join(sets, "id", "left_anti"), text_col, key_col)
+        sets = more if sets is None else sets.unionByName(more)
+        found = materialise(_confirm(pairs, sets), "near-edges")
+        if not found.isEmpty():
+            edges.append(found)
+            labels = components(reduce(DataFrame.unionByName, edges))
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        return materialise(_open_nodes(_labelled(rows.select("node", "id", "n", "bits"), labels)), "near-level")
+
+    level = still_open(_first_level(reps))
+    merge(_stars(level, "least"))
+    level = still_open(level)
+    if not level.isEmpty():
         large = level.where(F.col("docs") > SMALL)
-        if depth == DEPTH:
-            waiting = waiting.unionByName(_in_blocks(large)).distinct()
-            level = level.limit(0)
+        merge(_exhaustive(level.where(F.col("docs") <= SMALL), ["node"]).unionByName(_stars(large, "most")))
+        level, waiting = still_open(large), []
+        for _ in range(2, DEPTH + 1):
+            if level.isEmpty():
+                break
+            level = still_open(_next_level(level, reps))
+            waiting.append(_exhaustive(level.where(F.col("docs") <= SMALL), ["node"]))
+            level = level.where(F.col("docs") > SMALL)
         else:
-            level = materialise(_open_nodes(_labelled(_next_level(large, reps), labels)), "near-level")
-    if waiting is not None:
-        pairs = materialise(waiting, "near-pairs")
-        if not pairs.isEmpty():
-            ids = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-            if sets is not None:
-                ids = ids.join(sets, "id", "left_anti")
-            more = _fetch_sets(docs, reps, ids, text_col, key_col)
-            edges.append(materialise(_confirm(pairs, more if sets is None else sets.unionByName(more)), "near-edges"))
-            labels = components(reduce(DataFrame.unionByName, edges))
+            waiting.append(_in_blocks(level))
+        if waiting:
+            merge(reduce(DataFrame.unionByName, waiting))
 
     classed = _labelled(reps.select("id", "digest", "head"), labels)
     first = classed.groupBy("label").agg(F.min("head").alias("first"))

@@ -34,10 +34,10 @@ _WORD = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 class Pieces:
     """The pieces of a model file and the encoder over them."""
 
-    def __init__(self, model_path: str):
+    def __init__(self, model: bytes):
         from sentencepiece import SentencePieceProcessor
 
-        sp = SentencePieceProcessor(model_file=model_path)
+        sp = SentencePieceProcessor(model_proto=model)
         self.score: dict[str, float] = {}
         self.ids: dict[str, int] = {}
         self.byte_ids = [0] * 256
@@ -127,14 +127,20 @@ class Pieces:
         return text[1:] if text[:1] == b" " else text
 
 
-_MODELS: dict[str, Pieces] = {}
+_MODELS: dict[bytes, Pieces] = {}
 
 
-def pieces(model_path: str) -> Pieces:
-    """The model, loaded once per worker (the path must exist on every executor)."""
-    if model_path not in _MODELS:
-        _MODELS[model_path] = Pieces(model_path)
-    return _MODELS[model_path]
+def pieces(model: bytes) -> Pieces:
+    """The model, loaded once per worker."""
+    if model not in _MODELS:
+        _MODELS[model] = Pieces(model)
+    return _MODELS[model]
+
+
+def read_model(path: str) -> bytes:
+    """The model file, read on the driver (executors get its bytes with the task)."""
+    with open(path, "rb") as f:
+        return f.read()
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -145,9 +151,10 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", carry: Sequ
     in a struct and cannot clash.
     """
     rows = docs.select(F.struct(*[col(c).alias(c) for c in carry]).alias("row"), utf8(text_col).alias("bytes"))
+    file = read_model(model_path)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model, packed = pieces(model_path), []
+        model, packed = pieces(file), []
         texts = batch.column("bytes").to_pylist()
         for a in range(0, len(texts), 500):
             packed += model.encode([t.decode("utf-8", "replace") for t in texts[a:a + 500]])
@@ -163,9 +170,10 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", carry: Seq
     """The ``carry`` columns and bytes: the UTF-8 text of the ids. Null ids give null."""
     names = [c for c in carry] + [ids_col]
     rows = encoded.select(*[col(c) for c in names])
+    file = read_model(model_path)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model = pieces(model_path)
+        model = pieces(file)
         text = [None if x is None else model.decode(x.values.to_numpy(zero_copy_only=False).tolist())
                 for x in batch.column(ids_col)]
         kept = [batch.column(c) for c in carry]

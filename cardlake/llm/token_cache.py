@@ -18,6 +18,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -84,9 +85,12 @@ def count_tokens(texts: list[bytes], version: str, definition: str, by_word: boo
 
 def read_cache(spark: SparkSession, path: str, version: str) -> DataFrame:
     """digest, n_tokens of the tokenizer version; an entry appended twice counts once."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root)
-    table = spark.read.schema(CACHE).parquet(path) if there else spark.createDataFrame([], CACHE)
+    try:
+        table = spark.read.schema(CACHE).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        table = spark.createDataFrame([], CACHE)
     return table.where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 

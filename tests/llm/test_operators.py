@@ -1,0 +1,441 @@
+"""The text operators on small tables: against brute force, and the cases every one must define."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from cardlake.llm import exact_dedup, mixing, near_dedup, quality, sharding, sp_codec, substring_dedup, token_cache, toxicity, warc
+from cardlake.llm import common, components
+from cardlake.llm.common import scratch_path
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+BLANKS = re.compile("[\x20\x09-\x0D]+")
+
+
+def words_of(text):
+    return (text or "").encode().split()
+
+
+def prose(rnd, n, vocabulary=400):
+    return " ".join(f"w{rnd.randrange(vocabulary)}" for _ in range(n))
+
+
+def table(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame([(i, t, "en", s, None if t is None else len(t)) for i, t, s in rows], schema).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """Copies, near copies, shared passages, nulls, blanks, repeated rows, a very long text."""
+    rnd = random.Random(5)
+    out = [(i, prose(rnd, rnd.randrange(1, 160)), f"s{i % 4}") for i in range(60)]
+    passage = prose(rnd, 70)
+    out += [(100 + i, prose(rnd, 20) + "\n" + passage + "\n" + prose(rnd, 30), "s1") for i in range(8)]
+    out += [(120 + i, out[3][1].replace(" ", " \t" if i % 2 else " "), "s0") for i in range(6)]
+    base = prose(rnd, 200).split()
+    for i in range(12):  # a group of near copies
+        changed = list(base)
+        changed[rnd.randrange(200)] = f"x{i}"
+        out.append((140 + i, " ".join(changed), "s2"))
+    out += [(200, None, "s0"), (201, "", None), (202, " \n\t ", "s0"), (203, "one two", "s0"), (204, "ONE two", None),
+            (205, prose(rnd, 30_000, 50), "s3"), (206, "naïve café ☃ " * 60, "é"), (140, out[-1][1], "s2"),
+            (207, "#|<tag> " * 80, "s1"), (208, "same line here\n" * 30, "s1")]
+    out += [out[0], out[0]]
+    return out
+
+
+# ---------------------------------------------------------------- cases that hold for every operator
+
+OPERATORS = {
+    "toxicity": lambda d: toxicity.score_documents(d, toxicity.Model({b"bad": 9.0}, -6.0)),
+    "near": near_dedup.near_duplicates,
+    "exact": exact_dedup.exact_dedup,
+    "substring": substring_dedup.remove_repeats,
+    "codec": lambda d: sp_codec.encode(d, public_tokenizers.path("piece_bpe_32k.model")),
+    "shards": sharding.shard_by_bytes,
+    "tokens": lambda d: token_cache.token_counts(d, public_tokenizers.path("word_bpe_49k.json"), scratch_path(d.sparkSession, "tc")),
+    "quality": lambda d: quality.apply_policy(quality.rule_ledger(d)),
+    "mix": mixing.mix_sources,
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_tables_and_null_rows_and_clashing_columns(spark, name):
+    run = OPERATORS[name]
+    assert run(spark.createDataFrame([], SCHEMA)).collect() == []
+    clash = spark.createDataFrame(
+        [(None, None, None, 1, 2, 3, 4), (None, "a b", "s", 1, 2, 3, 4), (7, "", "s", None, 2, 3, 4)],
+        "doc_id long, text string, source string, kept int, size int, digest int, label int")
+    assert run(clash).count() == 3
+
+
+def test_warc_of_an_empty_table(spark):
+    path = scratch_path(spark, "warc")
+    warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string"), path)
+    assert warc.read_archive(spark, path).count() == 0
+
+
+# ---------------------------------------------------------------- common
+
+def test_word_hashes_and_counts():
+    import pyarrow as pa
+
+    texts = [b"a b", b"", b" a\x0bb\xc2\xa0c ", "é a".encode(), b"ab"]
+    got = {i: list(h) for i, h in common.corpus_hashes(texts)}
+    assert [len(got[i]) for i in range(5)] == [len(t.split()) for t in texts]
+    assert got[0][0] == got[2][0] == got[3][1] and got[0][1] != got[0][0] and got[4][0] not in got[0]
+    long = b"word other " * 300_000
+    whole = common.word_hashes(long)[1]
+    assert len(whole) == 600_000 and set(whole[::2]) == {whole[0]} and whole[0] == common.word_hashes(b"word")[1][0]
+    for part in (pa.array(texts, pa.binary()), pa.array([b"x y", *texts, b"z"], pa.binary()).slice(1, 5)):
+        assert list(common.word_counts(part)) == [len(t.split()) for t in texts]
+    assert list(common.word_counts(pa.array([b"z", None, b"", long], pa.binary()))) == [1, 0, 0, 600_000]
+
+
+# ---------------------------------------------------------------- 1
+
+def test_toxicity_learns_from_document_labels_and_locates_sentences(spark):
+    rnd = random.Random(1)
+    texts, labels = [], []
+    for i in range(400):
+        sentences = [prose(rnd, 8) for _ in range(rnd.randrange(1, 12))]
+        if i % 5 == 0:
+            sentences[rnd.randrange(len(sentences))] += " vile " + rnd.choice(["slur", "filth"])
+        texts.append((i, ". ".join(sentences), "s"))
+        labels.append((i, int(i % 5 == 0)))
+    labels += [(None, 1), (3, None), (5, 1)]
+    docs, marked = table(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int")
+    train = marked.where("doc_id is null or doc_id % 4 != 2")
+    sample = toxicity.train_sample(docs, train)
+    assert len(sample) == 300 and toxicity.train_sample(docs, train, toxicity.Sample(toxic=10, clean=20)) != sample
+    model = toxicity.fit(sample)
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, model).collect()}
+    assert all((got[i].score >= 0.3) == (y == 1) for i, y in labels[:400])
+    for i, text, _ in texts:
+        for s in got[i].offending:
+            assert "vile" in text.encode()[s["start"]:s["end"]].decode()
+    assert toxicity.fit([(b"a b", 0)]).weights == {}
+    assert model.score(model.sentences(b"")) == 0.0
+
+
+# ---------------------------------------------------------------- 2
+
+def brute_components(rows):
+    sets = []
+    for i, text, _ in rows:
+        w = (text or "").encode().lower().split()
+        sets.append((i, {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()))
+    up = {i: i for i, _ in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            (i, x), (j, y) = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                p, q = find(i), find(j)
+                up[max(p, q)] = min(p, q)
+    return {i: (len(s), find(i)) for i, s in sets}
+
+
+def unique(rows):
+    seen, out = set(), []
+    for r in rows:
+        if r[0] not in seen:
+            seen.add(r[0])
+            out.append(r)
+    return out
+
+
+def test_near_duplicates_equal_brute_force(spark, rows):
+    rows = unique(rows)
+    got = near_dedup.near_duplicates(table(spark, rows)).collect()
+    expected = brute_components(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_near_duplicates_of_large_nodes(spark, monkeypatch):
+    """Groups larger than a small node: near copies that link, and texts that share half and do not."""
+    monkeypatch.setattr(near_dedup, "SMALL", 6)
+    rnd = random.Random(3)
+    base, common_part = prose(rnd, 120, 10_000).split(), prose(rnd, 60, 10_000)
+    rows = []
+    for i in range(60):
+        changed = list(base)
+        for _ in range(rnd.randrange(1, 4)):
+            changed[rnd.randrange(120)] = f"y{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(changed), "s"))
+    rows += [(100 + i, common_part + " " + prose(rnd, 30, 10_000), "s") for i in range(40)]
+    got = near_dedup.near_duplicates(table(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+
+
+def test_near_duplicates_with_row_numbers_keep_one_row(spark, rows):
+    numbered = common.materialise(table(spark, rows + rows[:5]).withColumn("no", F.monotonically_increasing_id()), "t")
+    got = near_dedup.near_duplicates(numbered, row_col="no").collect()
+    assert len(got) == len(rows) + 5 and len({r.rid for r in got}) == len(got)
+    kept = Counter(r.component_id for r in got if r.kept and r.n_shingles)
+    assert set(kept.values()) == {1} and set(kept) == {r.component_id for r in got if r.n_shingles}
+
+
+def test_components(spark):
+    rnd = random.Random(2)
+    links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(400, 400 + i) for i in range(1, 90)]
+    links += [(500 + i, 501 + i) for i in range(40)]
+    up = {x: x for e in links for x in e}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        p, q = find(a), find(b)
+        up[max(p, q)] = min(p, q)
+    got = components.components(spark.createDataFrame(links, "u long, v long")).collect()
+    alone = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
+    assert {r.id: r.label for r in got} == {x: find(x) for x in up if x not in alone} and len(got) == len(up) - len(alone)
+    assert components.components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+# ---------------------------------------------------------------- 3
+
+def test_exact_dedup_equals_brute_force(spark, rows):
+    long = "z" * 5000
+    rows = rows + [(900 + i, long + "abcd"[i % 3], "s") for i in range(7)] + [(950, long, "s"), (None, long, "s")]
+    classes = defaultdict(list)
+    for i, text, _ in rows:
+        classes[BLANKS.sub(" ", text or "")].append(i)
+    got = exact_dedup.exact_dedup(table(spark, rows), carry=["text"]).collect()
+    assert len(got) == len(rows)
+    kept = Counter()
+    for r in got:
+        text = BLANKS.sub(" ", r.row.text or "")
+        ids = classes[text]
+        assert (r.keep_id, r.group_size) == (min(i for i in ids if i is not None), len(ids))
+        assert r.text_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert not r.kept or r.doc_id == r.keep_id
+        kept[text] += r.kept
+    assert set(kept.values()) == {1}
+
+
+# ---------------------------------------------------------------- 4
+
+def brute_removal(rows, n):
+    first = {}
+    for i, text, _ in rows:
+        w = words_of(text)
+        for k in range(len(w) - n + 1):
+            g = tuple(w[k:k + n])
+            first[g] = min(first.get(g, i), i)
+    out = {}
+    for i, text, _ in rows:
+        w = words_of(text)
+        gone = {j for k in range(len(w) - n + 1) if first[tuple(w[k:k + n])] < i for j in range(k, k + n)}
+        out[i] = (len(w), len(gone), b" ".join(x for j, x in enumerate(w) if j not in gone), gone)
+    return out
+
+
+@pytest.mark.parametrize("window,unit", [(50, 8 << 20), (50, 4000), (5, 3000)])
+def test_removal_equals_brute_force(spark, rows, window, unit):
+    rows = [r for r in unique(rows) if window == 50 or r[0] != 205]
+    expected = brute_removal(rows, window)
+    got = substring_dedup.remove_repeats(table(spark, rows), window=window, unit_bytes=unit).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, bytes(r.kept_text)) for r in got} == {i: e[:3] for i, e in expected.items()}
+    for r in got:
+        assert {j for s in r.spans for j in range(s.start, s.end)} == expected[r.doc_id][3]
+        assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
+
+
+# ---------------------------------------------------------------- 5
+
+def test_codec_gives_the_library_ids_and_the_text_back(spark, rows):
+    from sentencepiece import SentencePieceProcessor
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = SentencePieceProcessor(model_file=path)
+    rnd = random.Random(9)
+    alphabet = "aehtnoils rdäß▁  \n\t\x00.,<>|0x1☃漢字ﬁ　é́"
+    texts = [r[1] for r in rows] + ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(0, 60))) for _ in range(300)]
+    texts += ["<s> a </s><0x0A>", "  two  blanks ", "▁▁x", "International tokenization of unbelievable words, the the"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    coded = sp_codec.encode(docs, path)
+    for r in sp_codec.decode(coded, path).collect():
+        text = texts[r.row.doc_id] or ""
+        assert r.ids == library.encode(text), text
+        assert bytes(r.bytes).decode() == text.replace("▁", " ") or text.startswith("▁")
+
+
+# ---------------------------------------------------------------- 6
+
+def test_warc_round_trip(spark):
+    big, other = "<p>é" + "x" * 1200, "<p>" + "y" * 997
+    pages = [(1, "http://a/1", big), (2, "http://a/2", big), (9, "http://a/\r\n9", big), (3, None, "small"), (4, "u", "small"),
+             (5, "u", None), (6, "u", other), (7, "u", other), (None, "n", big), (10, "u", "y" * 999), (11, "u", "y" * 999)]
+    path = scratch_path(spark, "warc")
+    warc.write_archive(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3), path)
+    got = {r.page_id: r for r in warc.read_archive(spark, path).collect()}
+    assert spark.read.parquet(f"{path}/payloads").count() == len({h or "" for _, _, h in pages})
+    for i, url, html in pages:
+        payload, r = (html or "").encode(), got[i]
+        same = [p for p, _, h in pages if (h or "") == (html or "") and p is not None]
+        newest = max(same) if len(payload) >= 1000 else i
+        assert (r.record_type, r.refers_to) == (("response", None) if newest == i else ("revisit", newest))
+        assert bytes(r.payload) == payload and r.payload_digest == hashlib.sha1(payload).hexdigest() and r.verified
+        head, _, rest = bytes(r.record).partition(b"\r\n\r\n")
+        fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+        assert int(fields["Content-Length"]) == len(rest) - 4 and fields["WARC-Type"] == r.record_type
+        assert rest.endswith((payload if r.record_type == "response" else b"") + b"\r\n\r\n")
+        assert "WARC-Target-URI" not in fields if url is None else fields["WARC-Target-URI"] == re.sub("\r\n", "%0D%0A", url)
+        if r.record_type == "revisit":
+            assert fields["WARC-Refers-To"] == got[newest].record_id
+
+
+# ---------------------------------------------------------------- 7
+
+@pytest.mark.parametrize("shards", [1, 8, 200])
+def test_shards(spark, rows, shards):
+    got = sharding.shard_by_bytes(table(spark, rows + [(None, "x", "s")]), shards).collect()
+    assert len(got) == len(rows) + 1
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r)
+    total, largest = sum(r["size"] for r in got), max(r["size"] for r in got)
+    texts = defaultdict(set)
+    for i, text, _ in [*rows, (None, "x", "s")]:
+        texts[i].add((len((text or "").encode()) + 1, zlib.crc32((text or "").encode())))
+    assert all((r["size"], r.text_crc32) in texts[r.doc_id] for r in got)
+    order = []
+    for s in sorted(by):
+        part = sorted(by[s], key=lambda r: r.slot)
+        assert [r.slot for r in part] == list(range(len(part))) and 0 <= s < shards
+        assert abs(sum(r["size"] for r in part) - total / shards) <= largest
+        order += [-1 if r.doc_id is None else r.doc_id for r in part]
+    assert order == sorted(order)
+
+
+# ---------------------------------------------------------------- 8
+
+def test_token_counts_and_cache(spark, rows):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    rnd = random.Random(4)
+    odd = ["<|startoftext|>x <|endoftext|> <|END", "it's Ångström Å  e ́x ΑΣ İ", "1234 a1b2 c-d_e", "　x y z", "a\x00b\x1cc"]
+    odd += ["".join(rnd.choice("aB ́É'sx1☃\n <|>") for _ in range(40)) for _ in range(100)]
+    rows = rows + [(1000 + i, t, "s") for i, t in enumerate(odd)]
+    docs, cache = table(spark, rows), scratch_path(spark, "cache")
+    expected = Counter((i, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t, _ in rows)
+    half = docs.where("doc_id < 130")
+    token_cache.token_counts(half, path, cache).collect()
+    before = spark.read.parquet(cache).count()
+    got = token_cache.token_counts(docs, path, cache)
+    assert Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in got.collect()) == expected
+    entries = spark.read.parquet(cache)
+    assert before < entries.count() == entries.select("tokenizer", "digest").distinct().count() == \
+        len({BLANKS.sub(" ", t or "") for _, t, _ in rows})
+    token_cache.token_counts(docs, path, cache).collect()   # nothing is missing any more
+    assert spark.read.parquet(cache).count() == entries.count()
+    # a tokenizer that keeps white space is counted text by text, and has entries of its own
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    text, whole = token_cache.tokenizer_text(other), Tokenizer.from_file(other)
+    assert not token_cache.counts_by_word(text) and token_cache.counts_by_word(token_cache.tokenizer_text(path))
+    some = token_cache.count_tokens([b"a b  c"], "v", text, False)
+    assert some == [len(whole.encode("a b  c", add_special_tokens=False).ids)]
+
+
+# ---------------------------------------------------------------- 9
+
+def test_quality_ledger_policies_and_ablation(spark, rows):
+    ledger = common.materialise(quality.rule_ledger(table(spark, rows)), "ledger")
+    expected = Counter()
+    for i, text, _ in rows:
+        t = text or ""
+        w = words_of(t)
+        grams = Counter(tuple(w[k:k + 3]) for k in range(len(w) - 2))
+        repeated = {j for k in range(len(w) - 2) if grams[tuple(w[k:k + 3])] > 1 for j in range(k, k + 3)}
+        lines = [x for x in t.split("\n") if x.encode().strip()]
+        expected[i, len(w), sum(len(x.decode()) for x in w), sum(t.count(c) for c in "#*$%&|<>"),
+                 len(lines) - len(set(lines)), len(repeated)] += 1
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    assert Counter(tuple(r) for r in ledger.select("row.doc_id", *names).collect()) == expected
+    for policy in quality.POLICIES:
+        mask = quality.policy_mask(policy)
+        for r in quality.apply_policy(ledger, policy).collect():
+            base = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+            assert r.base_failed == base and r.kept == (not base and not r.failed & mask)
+        got = {r.rule: r for r in quality.ablation(ledger, policy).collect()}
+        bits = [r.failed & mask for r in ledger.collect()]
+        assert set(got) == set(quality.POLICIES[policy])
+        for rule, r in got.items():
+            b = quality.BIT[rule]
+            assert (r.n_failed, r.n_only, r.n_rejected, r.n_documents) == (
+                sum(bool(x & b) for x in bits), sum(x == b for x in bits), sum(x != 0 for x in bits), len(bits))
+
+
+# ---------------------------------------------------------------- 10
+
+def brute_targets(size, weights=(5, 2, 1), cap=3):
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    stopped, total = set(), sum(size.values())
+    while True:
+        free = [s for s in order if s not in stopped]
+        rest = total - sum(cap * size[s] for s in stopped)
+        level = rest / sum(weight[s] for s in free) if free else 0
+        more = {s for s in free if level * weight[s] > cap * size[s]}
+        if not more:
+            return {s: cap * size[s] if s in stopped else level * weight[s] for s in order}
+        stopped |= more
+
+
+@pytest.mark.parametrize("block", [6, 20_000])
+def test_mix_meets_its_targets(spark, rows, block):
+    rows = [r for r in rows if r[0] != 205]
+    size = defaultdict(int)
+    for _, text, s in rows:
+        size[s] += len(words_of(text))
+    targets = brute_targets(size)
+    got = mixing.mix_sources(table(spark, rows), block=block).collect()
+    again = mixing.mix_sources(table(spark, list(reversed(rows))).repartition(5), block=block).collect()
+    key = lambda r: (r.doc_id, r.source or "", r["size"], r.taken)
+    assert sorted(map(key, got)) == sorted(map(key, again)) and len(got) == len(rows)
+    taken, n, largest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in got:
+        assert r.source_size == size[r.source] and r.target == pytest.approx(targets[r.source])
+        assert 0 <= r.copies <= 3 and r.taken == r.copies * r["size"]
+        ratio = targets[r.source] / size[r.source] if size[r.source] else 0
+        assert r.copies in (int(ratio + 1e-9), int(ratio + 1e-9) + (ratio % 1 > 1e-9))
+        taken[r.source] += r.taken
+        n[r.source] += r.copies - ratio
+        largest[r.source] = max(largest[r.source], r["size"])
+    for s in size:
+        assert abs(taken[s] - targets[s]) <= 2 * largest[s] and abs(n[s]) <= 2
+
+
+def test_flight_keeps_totals_and_probabilities():
+    rnd, size = random.Random(6), [random.Random(i).randrange(1, 50) for i in range(40)]
+    mean = [0.0] * 40
+    for k in range(300):
+        p = [0.3] * 40
+        mixing.flight(p, size, random.Random(k))
+        assert sum(0 < x < 1 for x in p) <= 2
+        assert sum(p) == pytest.approx(12) and sum(a * b for a, b in zip(p, size)) == pytest.approx(0.3 * sum(size))
+        mean = [a + b / 300 for a, b in zip(mean, p)]
+    assert rnd and all(abs(x - 0.3) < 0.12 for x in mean)
+    p = [0.5] * 5
+    mixing.flight(p, [2, 2, 2, 2, 2], random.Random(1))
+    assert sum(0 < x < 1 for x in p) <= 1
