@@ -6,11 +6,11 @@ with the same min-wise token there go to the same child, so a similar pair stays
 some child with constant probability. Small nodes are compared exhaustively, large ones
 branch on. Copies of a set are one representative.
 
-What keeps groups of thousands linear: a node first compares its documents with one of them
-(the pivot), a large one then with another; confirmed links merge into components, and only
-documents of different components are compared from then on. Candidates pass a one-bit
-sketch of the signature and are confirmed on full shingle sets. A node that is still large
-at the last level is compared exhaustively in blocks.
+What keeps groups of thousands linear: only documents of different components are compared,
+and components merge as early as possible. First each document is compared with its node's
+pivot, then with its nearest neighbour by sketch (twice), and only then with all others that
+are left. Candidates pass a one-bit sketch of the signature and are confirmed on full
+shingle sets. A node that is still wide at the last level is compared in blocks.
 """
 
 from __future__ import annotations
@@ -32,13 +32,18 @@ SHINGLE = 5          # words
 SIMILARITY = 75      # per cent: links have 100 * intersection >= 75 * union
 POSITIONS = 64       # of the signature
 TREES = 12           # at depth 3 a pair of similarity 0.75 is missed by all with p < 0.005
-SMALL = 64           # documents of a node that is compared exhaustively
-DEPTH = 4            # levels of branching; larger nodes are then compared in blocks
+SMALL = 64           # documents of a node that is compared by a join
+LARGE = 2048         # of a block; a node of at most two blocks is compared whole, a wider one branches
+DEPTH = 4            # levels of branching; wider nodes are then compared block by block
+NEAREST_ROUNDS = 2
 BITS_APART = 19      # of 64 sketch bits; a pair of similarity 0.75 differs in more with p < 0.0002
+BYTES = 256          # of the byte sketch that large nodes use
+BYTES_SAME = 171     # of them; a pair of similarity 0.75 agrees in fewer with p < 0.002
 _U = np.uint64
 _RANDOM = np.random.Generator(np.random.PCG64(75))
-_A = _RANDOM.integers(1, 1 << 62, POSITIONS, dtype=np.uint64) * _U(2) + _U(1)
-_B = _RANDOM.integers(0, 1 << 62, POSITIONS, dtype=np.uint64)
+_A = _RANDOM.integers(1, 1 << 31, BYTES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_B = _RANDOM.integers(0, 1 << 32, BYTES, dtype=np.uint32)
+_SALT = _RANDOM.integers(1, 1 << 62, POSITIONS, dtype=np.uint64)
 
 
 # ---------------------------------------------------------------- sets and signatures
@@ -53,32 +58,37 @@ def set_digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The smallest value of each of the min-wise hash functions."""
-    out = np.full(POSITIONS, 0xFFFFFFFF, np.uint32)
-    for a in range(0, len(shingles), 2048):
-        values = shingles[None, a:a + 2048] * _A[:, None] + _B[:, None]
-        np.minimum(out, (values.min(axis=1) >> _U(32)).astype(np.uint32), out=out)
-    return out
+def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest value of each of the min-wise hash functions: the first ``POSITIONS`` of them
+    whole (they branch trees), and a byte of each (they estimate similarity)."""
+    out = np.full(BYTES, 0xFFFFFFFF, np.uint32)
+    short = (shingles >> _U(32)).astype(np.uint32)
+    for a in range(0, len(short), 1024):
+        values = short[None, a:a + 1024] * _A[:, None] + _B[:, None]
+        np.minimum(out, values.min(axis=1), out=out)
+    return out[:POSITIONS], (mix(out.astype(np.uint64)) & _U(255)).astype(np.uint8)
 
 
 def sign(docs: DataFrame, text_col: str, id_col: str, row_col: str | None) -> DataFrame:
-    """doc_id, rid, n_shingles, digest of the set, signature (packed uint32)."""
+    """doc_id, rid, n_shingles, digest of the set, signature (packed uint32), byte sketch."""
     rid = col(row_col).cast("long") if row_col else F.lit(None).cast("long")
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), rid.alias("rid"), utf8(text_col).alias("bytes"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, digest, sig = [], [], []
+        n, digest, sig, sketch = [], [], [], []
         for _, words in corpus_hashes(batch.column("bytes").to_pylist(), lower=True):
             shingles = shingle_set(words)
             n.append(len(shingles))
             digest.append(set_digest(shingles))
-            sig.append(signature(shingles).tobytes())
+            whole, short = signature(shingles)
+            sig.append(whole.tobytes())
+            sketch.append(short.tobytes())
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("rid"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-             pa.array(sig, pa.binary())], ["doc_id", "rid", "n_shingles", "digest", "sig"])
+             pa.array(sig, pa.binary()), pa.array(sketch, pa.binary())],
+            ["doc_id", "rid", "n_shingles", "digest", "sig", "sketch"])
 
-    return map_batches(rows, run, "doc_id long, rid long, n_shingles long, digest binary, sig binary")
+    return map_batches(rows, run, "doc_id long, rid long, n_shingles long, digest binary, sig binary, sketch binary")
 
 
 # ---------------------------------------------------------------- branching
@@ -90,7 +100,7 @@ def _uniform(x: np.ndarray) -> np.ndarray:
 def _chosen(node: np.ndarray, root: bool) -> np.ndarray:
     """For each node the positions it branches on (nodes x positions): each with probability
     1 / (similarity * positions), at a tree's root one at least."""
-    u = _uniform(node[:, None] * _U(0x9E3779B97F4A7C15) + _A[None, :])
+    u = _uniform(node[:, None] * _U(0x9E3779B97F4A7C15) + _SALT[None, :])
     pick = u < 100 / (SIMILARITY * POSITIONS)
     if root:
         pick[np.arange(len(node)), u.argmin(axis=1)] = True
@@ -105,7 +115,8 @@ def _signatures(batch: pa.RecordBatch) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4").reshape(batch.num_rows, POSITIONS)
 
 
-_NODES = "node long, id long, n long, bits long"
+_NODES = "node long, slot int, id long, n long, bits long"
+_ROWS = ("node", "slot", "id", "n", "bits")
 
 
 def _branch(batch: pa.RecordBatch, nodes: np.ndarray, root: bool) -> pa.RecordBatch:
@@ -114,15 +125,28 @@ def _branch(batch: pa.RecordBatch, nodes: np.ndarray, root: bool) -> pa.RecordBa
     row, position = np.nonzero(_chosen(nodes, root))
     child = _child(nodes[row], position, sig[row, position]).view(np.int64)
     kept = batch.select(["id", "n", "bits"]).take(pa.array(row))
-    return pa.RecordBatch.from_arrays([pa.array(child), *kept.columns], ["node", "id", "n", "bits"])
+    places = np.full(POSITIONS, -1, np.int32)
+    if root:  # all rows are of one root
+        for slot, (tree, p) in enumerate(_SLOTS):
+            if tree == int(nodes[0]):
+                places[p] = slot
+    return pa.RecordBatch.from_arrays([pa.array(child), pa.array(places[position]), *kept.columns], list(_ROWS))
+
+
+def _roots() -> np.ndarray:
+    return mix(np.arange(1, TREES + 1).astype(np.uint64))
+
+
+# the branches of all roots, as (root, position); a row of the first level has its index as slot
+_SLOTS = [(int(r), int(p)) for r in _roots() for p in np.flatnonzero(_chosen(np.array([r], np.uint64), True)[0])]
 
 
 def _first_level(reps: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tree in range(TREES):
+            for root in _roots():
                 if batch.num_rows:
-                    yield _branch(batch, np.full(batch.num_rows, mix(np.array([tree + 1], np.uint64))[0]), True)
+                    yield _branch(batch, np.full(batch.num_rows, root), True)
     return reps.select("id", "n", "bits", "sig").mapInArrow(run, _NODES)
 
 
@@ -146,37 +170,90 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _open_nodes(rows: DataFrame) -> DataFrame:
-    """The rows of nodes with documents of more than one component, with the node's count and its
-    pivots, the smallest and the largest id (ids are random numbers)."""
-    nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("least"), F.max("id").alias("most"),
+    """The rows of nodes with documents of more than one component, with the node's count and
+    pivot (the smallest id; ids are random numbers)."""
+    nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("pivot"),
                                      F.min("label").alias("low"), F.max("label").alias("high"))
     return rows.join(nodes.where("low != high").drop("low", "high"), "node")
 
 
-def _stars(rows: DataFrame, pivot: str) -> DataFrame:
+def _stars(rows: DataFrame) -> DataFrame:
     """Pairs of a document and its node's pivot; of a document's pivots the smallest."""
-    pivots = rows.where(F.col("id") == F.col(pivot)).select(
+    pivots = rows.where("id = pivot").select(
         "node", F.col("n").alias("n2"), F.col("bits").alias("bits2"), F.col("label").alias("label2"))
     return (rows.join(pivots, "node").where("label != label2").where(_may_link("n", "n2", "bits", "bits2"))
-            .groupBy("id").agg(F.min(pivot).alias("v")).select(F.col("id").alias("u"), "v"))
-
-
-def _exhaustive(rows: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Pairs of documents of different components in nodes of bounded size (or blocks of such)."""
-    a = rows.select(*on, "id", "n", "bits", "label")
-    b = rows.select(*on, *[F.col(c).alias(f"{c}2") for c in ("id", "n", "bits", "label")])
-    same = reduce(Column.__and__, [a[c] == b[c] for c in on])
-    return a.join(b, same & F.expr("id > id2 and label != label2") & _may_link("n", "n2", "bits", "bits2")).select(
-        F.col("id").alias("u"), F.col("id2").alias("v")).distinct()
+            .groupBy("id").agg(F.min("pivot").alias("v")).select(F.col("id").alias("u"), "v"))
+
+
+def _small_pairs(rows: DataFrame) -> DataFrame:
+    """u, v, apart: pairs of documents of different components in nodes of at most ``SMALL``."""
+    a = rows.select("node", "id", "n", "bits", "label")
+    b = rows.select("node", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "bits", "label")])
+    return a.join(b, (a["node"] == b["node"]) & F.expr("id > id2 and label != label2") & _may_link("n", "n2", "bits", "bits2")).select(
+        F.col("id").alias("u"), F.col("id2").alias("v"), (4 * F.expr("bit_count(bits ^ bits2)")).alias("apart"))
+
+
+def _large_pairs(rows: DataFrame, reps: DataFrame, nearest: bool) -> DataFrame:
+    """The same in larger nodes, one node (or pair of blocks) of at most 2 * ``LARGE`` documents in a task
+    at a time, compared in strips; the byte sketch sharpens the choice. With ``nearest`` only the
+    nearest one of each document, else a pair in the first of the nodes that it shares."""
+    def run(table: pa.Table) -> pa.Table:
+        names = ("id", "n", "bits", "label", "side", "slot", "slots")
+        ids, n, bits, label, side, slot, slots = (table.column(c).to_numpy() for c in names)
+        size, bits, out = len(ids), bits.view(np.uint64), []
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(size, BYTES)
+        tokens = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(size, POSITIONS)
+        blocks = (side != side[0]).any()
+        earlier = [(1 << k, p) for k, (_, p) in enumerate(_SLOTS) if k < slot[0]]
+        for a in range(0, size, 64):
+            x = slice(a, a + 64)
+            least, most = np.minimum(n[x, None], n[None, :]), np.maximum(n[x, None], n[None, :])
+            near = (np.bitwise_count(bits[x, None] ^ bits[None, :]) <= BITS_APART) & (100 * least >= SIMILARITY * most)
+            near &= (label[x, None] != label[None, :]) & (nearest | (ids[x, None] > ids[None, :]))
+            if blocks:
+                near &= side[x, None] != side[None, :]   # two blocks: only between them
+            u, v = np.nonzero(near)
+            same = np.concatenate([np.zeros(0, int), *[
+                (sketch[a + u[k:k + 65536]] == sketch[v[k:k + 65536]]).sum(axis=1) for k in range(0, len(u), 65536)]])
+            keep = same >= BYTES_SAME
+            u, v, same = a + u[keep], v[keep], same[keep]
+            if nearest:
+                order = np.lexsort((ids[v], -same, u))
+                first = np.concatenate([[True], np.diff(u[order]) > 0])[:len(u)]
+                u, v, same = u[order][first], v[order][first], same[order][first]
+            else:
+                for bit, position in earlier:
+                    other = (slots[u] & slots[v] & bit != 0) & (tokens[u, position] == tokens[v, position])
+                    u, v, same = u[~other], v[~other], same[~other]
+            out.append((ids[u], ids[v], (BYTES - same).astype(np.int32)))
+        u, v, apart = (np.concatenate([o[k] for o in out]) for k in range(3))
+        return pa.table({"u": u, "v": v, "apart": apart})
+
+    rows = rows.join(reps.select("id", "sig", "sketch"), "id")
+    return rows.groupBy("node", "low", "high").applyInArrow(run, "u long, v long, apart int")
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Candidates of nodes of any size: documents fall into blocks of about ``SMALL`` by a hash, and
-    each pair of blocks is one small group, to which both blocks' rows are copied."""
-    rows = rows.withColumn("blocks", F.expr(f"docs div {SMALL // 2} + 1")).withColumn("own", F.expr("pmod(xxhash64(id), blocks)"))
+    """Large nodes as groups (node, low, high): up to ``LARGE`` documents one group, beyond that the
+    documents fall into blocks by a hash, and each pair of blocks is a group."""
+    rows = rows.withColumn("blocks", F.expr(f"(docs - 1) div {LARGE} + 1")).withColumn("side", F.expr("pmod(xxhash64(id), blocks)"))
     copies = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    copies = copies.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    return _exhaustive(copies, ["node", "low", "high"])
+    return copies.withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
+
+
+def _candidates(level: DataFrame, reps: DataFrame, nearest: bool) -> DataFrame:
+    """u, v of open nodes: all pairs of different components whose sketches are near, or with
+    ``nearest`` for each document the nearest one."""
+    # the slots at which a document's node is compared whole (any node of the first level here is)
+    slots = level.groupBy("id").agg(F.expr("bit_or(if(slot < 0, 0L, shiftleft(1L, slot)))").alias("slots"))
+    large = level.where(F.col("docs") > SMALL).join(slots, "id")
+    pairs = _small_pairs(level.where(F.col("docs") <= SMALL)).unionByName(_large_pairs(_in_blocks(large), reps, nearest))
+    if nearest:
+        ends = F.explode(F.array(F.struct(F.col("u").alias("of"), F.col("v").alias("to")),
+                                 F.struct(F.col("v").alias("of"), F.col("u").alias("to")))).alias("end")
+        pairs = (pairs.select(ends, "apart").groupBy("end.of").agg(F.min(F.struct("apart", "end.to")).alias("best"))
+                 .select(F.col("of").alias("u"), F.col("best.to").alias("v")))
+    return pairs.select("u", "v")
 
 
 def _fetch_sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str, key_col: str) -> DataFrame:
@@ -233,59 +310,67 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
         bits = np.packbits(mix(_signatures(batch).astype(np.uint64)) & _U(1), axis=1).view(">i8").ravel().astype(np.int64)
         ids = mix(batch.column("number").to_numpy().view(np.uint64)).view(np.int64)  # a bijection
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids), batch.column("n"), pa.array(bits), batch.column("digest"), batch.column("head"), batch.column("sig")],
-            ["id", "n", "bits", "digest", "head", "sig"])
+            [pa.array(ids), batch.column("n"), pa.array(bits), *[batch.column(c) for c in ("digest", "head", "sig", "sketch")]],
+            ["id", "n", "bits", "digest", "head", "sig", "sketch"])
 
     classes = (signed.where("n_shingles > 0").groupBy("digest")
-               .agg(F.min(head).alias("head"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+               .agg(F.min(head).alias("head"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"))
                .withColumn("number", F.monotonically_increasing_id()))
     reps = materialise(map_batches(classes, sketch, StructType([
         StructField("id", LongType()), StructField("n", LongType()), StructField("bits", LongType()),
-        StructField("digest", BinaryType()), classes.schema["head"], StructField("sig", BinaryType())])), "near-classes")
+        StructField("digest", BinaryType()), classes.schema["head"], StructField("sig", BinaryType()),
+        StructField("sketch", BinaryType())])), "near-classes")
 
     labels: DataFrame | None = None
     sets: DataFrame | None = None
     edges: list[DataFrame] = []
 
-    def merge(pairs: DataFrame) -> None:
-        """Confirm candidates on full sets and merge the components of those that hold."""
+    tried: list[DataFrame] = []
+
+    def merge(pairs: DataFrame) -> bool:
+        """Confirm new candidates on full sets and merge the components of those that hold."""
         nonlocal labels, sets
-        pairs = materialise(pairs.distinct(), "near-pairs")
+        pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        for done in tried:
+            pairs = pairs.join(done, ["u", "v"], "left_anti")
+        pairs = materialise(pairs, "near-pairs")
         if pairs.isEmpty():
-            return
+            return False
+        tried.append(pairs)
         ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
         more = _fetch_sets(docs, reps, ids if sets is None else ids.join(sets, "id", "left_anti"), text_col, key_col)
         sets = more if sets is None else sets.unionByName(more)
         found = materialise(_confirm(pairs, sets), "near-edges")
-        if not found.isEmpty():
-            edges.append(found)
-            labels = components(reduce(DataFrame.unionByName, edges))
+        if found.isEmpty():
+            return False
+        edges.append(found)
+        labels = components(reduce(DataFrame.unionByName, edges))
+        return True
 
     def still_open(rows: DataFrame) -> DataFrame:
-        return materialise(_open_nodes(_labelled(rows.select("node", "id", "n", "bits"), labels)), "near-level")
-
-    level = still_open(_first_level(reps))
-    merge(_stars(level, "least"))
-    level = still_open(level)
-    if not level.isEmpty():
-        large = level.where(F.col("docs") > SMALL)
-        merge(_exhaustive(level.where(F.col("docs") <= SMALL), ["node"]).unionByName(_stars(large, "most")))
-        level, waiting = still_open(large), []
-        for _ in range(2, DEPTH + 1):
-            if level.isEmpty():
+        return materialise(_open_nodes(_labelled(rows.select(*_ROWS), labels)), "near-level")
+
+    waiting, level = [], still_open(_first_level(reps))
+    for depth in range(1, DEPTH + 1):
+        if level.isEmpty():
+            break
+        if merge(_stars(level)):
+            level = still_open(level)
+        wide = level.where(F.col("docs") > 2 * LARGE) if depth < DEPTH else level.limit(0)
+        waiting.append(level.where(F.col("docs") <= 2 * LARGE) if depth < DEPTH else level)
+        level = wide if wide.isEmpty() else still_open(_next_level(wide, reps))
+    if waiting:
+        level = reduce(DataFrame.unionByName, waiting).drop("docs", "pivot")
+        for _ in range(NEAREST_ROUNDS):
+            level = still_open(level)
+            if not merge(_candidates(level, reps, nearest=True)):
                 break
-            level = still_open(_next_level(level, reps))
-            waiting.append(_exhaustive(level.where(F.col("docs") <= SMALL), ["node"]))
-            level = level.where(F.col("docs") > SMALL)
-        else:
-            waiting.append(_in_blocks(level))
-        if waiting:
-            merge(reduce(DataFrame.unionByName, waiting))
+        merge(_candidates(still_open(level), reps, nearest=False))
 
     classed = _labelled(reps.select("id", "digest", "head"), labels)
     first = classed.groupBy("label").agg(F.min("head").alias("first"))
     classed = classed.join(first, "label").select("digest", "first")
-    out = signed.drop("sig").join(classed, "digest", "left")
+    out = signed.drop("sig", "sketch").join(classed, "digest", "left")
     component = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
     kept = F.col("first").isNull() | (F.col("rid").eqNullSafe(F.col("first.rid")) if row_col
                                       else F.col("doc_id").eqNullSafe(F.col("first.doc_id")))
