@@ -7,10 +7,11 @@ some child with constant probability. Small nodes are compared exhaustively, lar
 branch on. Copies of a set are one representative.
 
 What keeps groups of thousands linear: only documents of different components are compared,
-and components merge as early as possible. First each document is compared with its node's
-pivot, then with its nearest neighbour by sketch (twice), and only then with all others that
-are left. Candidates pass a one-bit sketch of the signature and are confirmed on full
-shingle sets. A node that is still wide at the last level is compared in blocks.
+and components merge as early as possible. First each document is compared with a node's
+pivot and with its nearest neighbour by sketch, then with the nearest of another component,
+and only then with all others that are left. Candidates pass a one-bit sketch of the
+signature and are confirmed on full shingle sets. A node that is still wide at the last
+level is compared in blocks.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from cardlake.llm.components import components
 
 SHINGLE = 5          # words
 SIMILARITY = 75      # per cent: links have 100 * intersection >= 75 * union
-POSITIONS = 64       # of the signature
-TREES = 12           # at depth 3 a pair of similarity 0.75 is missed by all with p < 0.005
+POSITIONS = 32       # of the signature
+TREES = 10           # at depth 2 a pair of similarity 0.75 is missed by all with p < 0.002
 SMALL = 64           # documents of a node that is compared by a join
 LARGE = 2048         # of a block; a node of at most two blocks is compared whole, a wider one branches
 DEPTH = 4            # levels of branching; wider nodes are then compared block by block
@@ -172,6 +173,7 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 def _open_nodes(rows: DataFrame) -> DataFrame:
     """The rows of nodes with documents of more than one component, with the node's count and
     pivot (the smallest id; ids are random numbers)."""
+    rows = rows.repartition("node")   # one exchange, for the counts and for the join
     nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("pivot"),
                                      F.min("label").alias("low"), F.max("label").alias("high"))
     return rows.join(nodes.where("low != high").drop("low", "high"), "node")
@@ -241,12 +243,13 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
     return copies.withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
 
 
-def _candidates(level: DataFrame, reps: DataFrame, nearest: bool) -> DataFrame:
+def _candidates(level: DataFrame, reps: DataFrame, nearest: bool, branched: bool) -> DataFrame:
     """u, v of open nodes: all pairs of different components whose sketches are near, or with
     ``nearest`` for each document the nearest one."""
-    # the slots at which a document's node is compared whole (any node of the first level here is)
-    slots = level.groupBy("id").agg(F.expr("bit_or(if(slot < 0, 0L, shiftleft(1L, slot)))").alias("slots"))
-    large = level.where(F.col("docs") > SMALL).join(slots, "id")
+    large = level.where(F.col("docs") > SMALL).withColumn("slots", F.lit(-1).cast("long"))
+    if branched:  # then only the slots at which a document's node is compared whole
+        slots = level.groupBy("id").agg(F.expr("bit_or(if(slot < 0, 0L, shiftleft(1L, slot)))").alias("slots"))
+        large = large.drop("slots").join(slots, "id")
     pairs = _small_pairs(level.where(F.col("docs") <= SMALL)).unionByName(_large_pairs(_in_blocks(large), reps, nearest))
     if nearest:
         ends = F.explode(F.array(F.struct(F.col("u").alias("of"), F.col("v").alias("to")),
@@ -256,39 +259,45 @@ def _candidates(level: DataFrame, reps: DataFrame, nearest: bool) -> DataFrame:
     return pairs.select("u", "v")
 
 
-def _fetch_sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str, key_col: str) -> DataFrame:
-    """id, shingles (packed sorted uint64) of the representatives ``ids``, from their texts."""
+def _fetch_texts(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str, key_col: str) -> DataFrame:
+    """id, bytes: a text of each of the representatives ``ids``. The only time that whole texts are
+    joined; rows that repeat an id come together, and of those a task passes one."""
     heads = reps.join(ids, "id", "left_semi").select("id", "digest", F.col("head.key").alias("key"))
     rows = docs.select(col(key_col).cast("long").alias("key"), utf8(text_col).alias("bytes")).join(heads, "key")
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep, out, wanted = [], [], batch.column("digest").to_pylist()
-        for i, words in corpus_hashes(batch.column("bytes").to_pylist(), lower=True):
-            shingles = shingle_set(words)
-            if set_digest(shingles) == wanted[i]:  # rows may repeat a doc_id
-                keep.append(i)
-                out.append(shingles.tobytes())
-        return pa.RecordBatch.from_arrays(
-            [batch.column("id").take(pa.array(keep, pa.int64())), pa.array(out, pa.binary())], ["id", "shingles"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            keep, ids_, wanted = [], batch.column("id").to_pylist(), batch.column("digest").to_pylist()
+            for i, words in corpus_hashes(batch.column("bytes").to_pylist(), lower=True):
+                # rows may repeat a doc_id with another text
+                if ids_[i] not in seen and set_digest(shingle_set(words)) == wanted[i]:
+                    seen.add(ids_[i])
+                    keep.append(i)
+            yield batch.select(["id", "bytes"]).take(pa.array(keep, pa.int64()))
 
-    return materialise(map_batches(rows.select("id", "digest", "bytes"), run, "id long, shingles binary")
-                       .dropDuplicates(["id"]), "near-sets")
+    return materialise(rows.select("id", "digest", "bytes").mapInArrow(run, "id long, bytes binary"), "near-texts")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar."""
-    rows = (pairs.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("left")), "u")
-            .join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("right")), "v").select("u", "v", "left", "right"))
+    rows = (pairs.join(texts.select(F.col("id").alias("v"), F.col("bytes").alias("right")), "v")
+            .join(texts.select(F.col("id").alias("u"), F.col("bytes").alias("left")), "u").select("u", "v", "left", "right"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = []
-        for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-            a, b = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+        keep, sets = [], {}
+        for side in ("u", "v"):
+            wanted = dict(zip(batch.column(side).to_pylist(), batch.column("left" if side == "u" else "right").to_pylist()))
+            wanted = {i: t for i, t in wanted.items() if i not in sets}
+            names = list(wanted)
+            sets.update((names[k], shingle_set(words)) for k, words in corpus_hashes(list(wanted.values()), lower=True))
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            a, b = sets[u], sets[v]
             both = len(np.intersect1d(a, b, assume_unique=True))
             keep.append(100 * both >= SIMILARITY * (len(a) + len(b) - both))
         return batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_batches(rows, run, "u long, v long")
+    return map_batches(rows, run, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", row_col: str | None = None) -> DataFrame:
@@ -307,7 +316,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     head = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid", key.alias("key"))
 
     def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bits = np.packbits(mix(_signatures(batch).astype(np.uint64)) & _U(1), axis=1).view(">i8").ravel().astype(np.int64)
+        short = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(batch.num_rows, BYTES)
+        bits = np.packbits(short[:, :64] & 1, axis=1).view(">i8").ravel().astype(np.int64)
         ids = mix(batch.column("number").to_numpy().view(np.uint64)).view(np.int64)  # a bijection
         return pa.RecordBatch.from_arrays(
             [pa.array(ids), batch.column("n"), pa.array(bits), *[batch.column(c) for c in ("digest", "head", "sig", "sketch")]],
@@ -321,15 +331,29 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
         StructField("digest", BinaryType()), classes.schema["head"], StructField("sig", BinaryType()),
         StructField("sketch", BinaryType())])), "near-classes")
 
+    # nodes to compare: those of the first level, but of too wide ones the children
+    level, waiting, branched = materialise(_open_nodes(_labelled(_first_level(reps), None)), "near-level"), [], False
+    for depth in range(1, DEPTH + 1):
+        wide = level.where(F.col("docs") > 2 * LARGE)
+        if depth == DEPTH or wide.isEmpty():
+            waiting.append(level)
+            break
+        waiting.append(level.where(F.col("docs") <= 2 * LARGE))
+        level, branched = materialise(_open_nodes(_labelled(_next_level(wide, reps), None)), "near-level"), True
+    level = reduce(DataFrame.unionByName, waiting)
+
+    # every document with a candidate has a nearest one: their texts are all that confirming needs
+    first = materialise(_candidates(level, reps, True, branched), "near-first")
+    ids = first.select("u").distinct().withColumnRenamed("u", "id")
+    texts = _fetch_texts(docs, reps, ids, text_col, key_col)
+    stars = _stars(level).join(ids, F.col("u") == F.col("id"), "left_semi").join(ids, F.col("v") == F.col("id"), "left_semi")
     labels: DataFrame | None = None
-    sets: DataFrame | None = None
     edges: list[DataFrame] = []
-
     tried: list[DataFrame] = []
 
     def merge(pairs: DataFrame) -> bool:
         """Confirm new candidates on full sets and merge the components of those that hold."""
-        nonlocal labels, sets
+        nonlocal labels
         pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         for done in tried:
             pairs = pairs.join(done, ["u", "v"], "left_anti")
@@ -337,35 +361,21 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
         if pairs.isEmpty():
             return False
         tried.append(pairs)
-        ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-        more = _fetch_sets(docs, reps, ids if sets is None else ids.join(sets, "id", "left_anti"), text_col, key_col)
-        sets = more if sets is None else sets.unionByName(more)
-        found = materialise(_confirm(pairs, sets), "near-edges")
+        found = materialise(_confirm(pairs, texts), "near-edges")
         if found.isEmpty():
             return False
         edges.append(found)
         labels = components(reduce(DataFrame.unionByName, edges))
         return True
 
-    def still_open(rows: DataFrame) -> DataFrame:
-        return materialise(_open_nodes(_labelled(rows.select(*_ROWS), labels)), "near-level")
-
-    waiting, level = [], still_open(_first_level(reps))
-    for depth in range(1, DEPTH + 1):
-        if level.isEmpty():
+    pairs = first.unionByName(stars)
+    level = level.join(ids, "id", "left_semi")   # a document without a candidate has none later
+    for _ in range(NEAREST_ROUNDS):
+        if not merge(pairs):
             break
-        if merge(_stars(level)):
-            level = still_open(level)
-        wide = level.where(F.col("docs") > 2 * LARGE) if depth < DEPTH else level.limit(0)
-        waiting.append(level.where(F.col("docs") <= 2 * LARGE) if depth < DEPTH else level)
-        level = wide if wide.isEmpty() else still_open(_next_level(wide, reps))
-    if waiting:
-        level = reduce(DataFrame.unionByName, waiting).drop("docs", "pivot")
-        for _ in range(NEAREST_ROUNDS):
-            level = still_open(level)
-            if not merge(_candidates(level, reps, nearest=True)):
-                break
-        merge(_candidates(still_open(level), reps, nearest=False))
+        level = materialise(_open_nodes(_labelled(level.select(*_ROWS), labels)), "near-level")
+        pairs = _candidates(level, reps, True, branched)
+    merge(_candidates(level, reps, False, branched))
 
     classed = _labelled(reps.select("id", "digest", "head"), labels)
     first = classed.groupBy("label").agg(F.min("head").alias("first"))
