@@ -1,8 +1,8 @@
 """Command line: deck directory ingest (or dry run), catalogue ingest, ad-hoc SQL.
 
-  python -m cardlake.cli decks DIR [--rule cli|library] [--dry-run [--preview N]] [--out EVENTS_DIR]
+  python -m cardlake.cli decks DIR [--rule cli|library] [--dry-run] [--out EVENTS_DIR]
   python -m cardlake.cli catalog EVENTS_DIR [--sets LANDED] [--atomic LANDED] [--prices LANDED]
-  python -m cardlake.cli sql TABLES_DIR "SELECT ..." [--show N]
+  python -m cardlake.cli sql TABLES_DIR "SELECT ..." (--out DIR | --show N)
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from cardlake import schemas
+from cardlake.functions import columns as C
 from cardlake.session import build_session
 from cardlake.sources import catalog as CAT
 from cardlake.sources import decks as D
@@ -26,16 +27,15 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def ingest_decks(spark, directory: str, rule: str = "cli", out: str | None = None,
-                 dry_run: bool = False, preview: int = 20) -> dict:
+                 dry_run: bool = False) -> dict:
     lines = D.read_deck_lines(spark, directory)
     graded, obs = observe_rejects(D.parse_deck_lines(lines, rule=rule, keep_rejects=True), "deck_lines")
     accepted = graded.where(F.col("reject_reason").isNull()).drop("reject_reason")
     decks = D.summarise_decks(graded, rule=rule)
     if dry_run:
-        # a preview is the feature here: print at most `preview` decks
-        for js in decks.orderBy("file_path").limit(preview).toJSON().collect():
+        # every deck is printed; one partition at a time is on the driver
+        for js in decks.orderBy("file_path").toJSON().toLocalIterator():
             print(json.dumps(json.loads(js), indent=2))
-        decks.write.format("noop").mode("overwrite").save()
     else:
         target = out or os.path.join(directory, "_events")
         deck_ev = E.build_envelope(decks.withColumn("ingested_at", F.current_timestamp().cast("string")),
@@ -71,7 +71,7 @@ def ingest_catalog(spark, out: str, sets_path: str | None = None, atomic_path: s
             .write.mode("append").json(os.path.join(out, "cards"))
     if prices_path:
         rows = CAT.flatten_price_tree(CAT.read_landed(spark, prices_path))
-        key = F.concat(F.lit("price-"), F.col("card_uuid"), F.lit("-"), F.col("date"))
+        key = C.price_event_key("card_uuid", F.to_date("date"))
         E.build_envelope(rows, schemas.EVENT_PRICE, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE,
                          payload=["card_uuid", "format", "source", "type", "foil", "date", "price"],
                          timestamp=stamp, key=key) \
@@ -93,7 +93,6 @@ def main(argv=None) -> None:
     d.add_argument("directory")
     d.add_argument("--rule", default="cli", choices=["cli", "library"])
     d.add_argument("--dry-run", action="store_true")
-    d.add_argument("--preview", type=int, default=20)
     d.add_argument("--out")
     c = sub.add_parser("catalog")
     c.add_argument("out")
@@ -103,15 +102,18 @@ def main(argv=None) -> None:
     q = sub.add_parser("sql")
     q.add_argument("tables_dir")
     q.add_argument("text")
-    q.add_argument("--show", type=int, default=20)
+    where = q.add_mutually_exclusive_group(required=True)
+    where.add_argument("--out", help="folder for the whole result as JSON lines")
+    where.add_argument("--show", type=int, help="print so many rows")
     a = ap.parse_args(argv)
     spark = build_session(app_name=f"cardlake-{a.cmd}")
     if a.cmd == "decks":
-        print(json.dumps({"line_counts": ingest_decks(spark, a.directory, a.rule, a.out, a.dry_run, a.preview)}))
+        print(json.dumps({"line_counts": ingest_decks(spark, a.directory, a.rule, a.out, a.dry_run)}))
     elif a.cmd == "catalog":
         ingest_catalog(spark, a.out, a.sets, a.atomic, a.prices)
     else:
-        run_sql(spark, a.tables_dir, a.text).show(a.show, truncate=False)
+        result = run_sql(spark, a.tables_dir, a.text)
+        result.write.json(a.out) if a.out else result.show(a.show, truncate=False)
 
 
 if __name__ == "__main__":

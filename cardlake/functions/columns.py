@@ -28,8 +28,6 @@ TITLE_WORD_CLASS = TITLE_SEPARATOR_CLASS.replace("[", "[^", 1)
 # \s characters, digits only before it, is the same match).
 CLI_QTY_RE = r"^[+-]?[0-9]+$"
 LIB_QTY_RE = r"^[0-9]+$"
-# A library-mode file fails as a whole once a line reaches the scanner's 64 KiB token limit.
-LIB_MAX_LINE_BYTES = 65536
 # Mana-cost tiers, colour categories and deck format buckets.
 TIER_LOW_MAX, TIER_MEDIUM_MAX = 2, 4
 COLOR_CATEGORIES = ["Colorless", "Monocolored", "Two-colored", "Three-colored",
@@ -177,9 +175,12 @@ def money_text(x) -> Column:
 
 
 def alert_message(name, price) -> Column:
-    """'ALERT: <name> is priced at $<price>'; a missing name reads as empty text."""
-    return F.concat(F.lit("ALERT: "), F.coalesce(col_(name).cast("string"), F.lit("")),
-                    F.lit(" is priced at $"), col_(price).cast("string"))
+    """'ALERT: <name> is priced at $<price>'; a missing name reads as empty text. Prices that a
+    double would print in scientific notation are written out (two decimals at most)."""
+    p = col_(price)
+    text = F.when(F.abs(p.cast("double")) >= 1e7, F.regexp_replace(p.cast("decimal(38,2)").cast("string"), "0$", "")) \
+        .otherwise(p.cast("string"))
+    return F.concat(F.lit("ALERT: "), F.coalesce(col_(name).cast("string"), F.lit("")), F.lit(" is priced at $"), text)
 
 
 def epoch_ms_text(ms, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:

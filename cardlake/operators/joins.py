@@ -100,9 +100,12 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     each right row is copied into its own and both neighbouring buckets, so a left
     row is compared only with right rows at most one band away (never with every
     row of its key, which would be quadratic for a hot key). Every qualifying pair
-    meets in exactly one bucket. The time range stays a plain predicate, so on
+    meets in exactly one bucket. Only inner and left joins are offered: the copies of a
+    right row would each come out unmatched in a right or full join. The time range stays a plain predicate, so on
     streams the watermarks on both sides bound the join state.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"interval_join is inner or left, not {how!r}")
     w = _seconds(within)
     lb = F.floor(F.unix_seconds(left[left_ts].cast("timestamp")) / F.lit(w)).cast("long")
     rb = F.floor(F.unix_seconds(right[right_ts].cast("timestamp")) / F.lit(w)).cast("long")

@@ -303,8 +303,7 @@ def deck_portfolio_value(spark, sf, unit_price: float = 5.0):
 @register("deck_value_priced", f"""
 WITH lines AS (SELECT {SQL_ID.format(p=SQL_PATH)} AS deck_id, 'Part ' || l_partkey AS card_name,
                       CAST(l_quantity AS BIGINT) AS quantity FROM lineitem WHERE l_returnflag <> 'A'),
-names AS (SELECT 'Part ' || p_partkey AS name, MIN(CAST(p_partkey AS VARCHAR)) AS uuid FROM part
-          WHERE p_type <> 'PROMO' GROUP BY 1),
+names AS (SELECT 'Part ' || p_partkey AS name, MIN(CAST(p_partkey AS VARCHAR)) AS uuid FROM part GROUP BY 1),
 latest AS (SELECT CAST(l_partkey AS VARCHAR) AS uuid,
                   arg_max(l_extendedprice, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice)) AS price
            FROM lineitem GROUP BY 1)
@@ -315,10 +314,10 @@ FROM lines LEFT JOIN names ON lines.card_name = names.name LEFT JOIN latest ON n
 GROUP BY deck_id
 """)
 def deck_value_priced(spark, sf):
-    """Decks valued with real prices: line name -> card (catalogue without PROMO
-    printings) -> newest price; unmatched lines are counted, not guessed."""
+    """Decks valued with real prices: line name -> card -> newest price; unmatched lines are
+    counted, not guessed."""
     cards = D.deck_cards(D.parse_deck_lines(_lines(spark, sf)))
-    part = table(spark, sf, "part").where(F.col("p_type") != "PROMO")
+    part = table(spark, sf, "part")
     catalogue = part.select(F.concat(F.lit("Part "), F.col("p_partkey").cast("string")).alias("name"),
                             F.col("p_partkey").cast("string").alias("uuid"))
     li = spread(table(spark, sf, "lineitem"))  # sort-based latest-price aggregate: use every core

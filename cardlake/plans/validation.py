@@ -42,8 +42,9 @@ def orphan_check(spark, sf):
 
 @register("upsert_latest_wins", """
 WITH target AS (SELECT CAST(p_partkey AS VARCHAR) AS uuid, p_name AS name, p_retailprice AS price,
-                       TIMESTAMP '1994-01-01 00:00:00' AS created_at, TIMESTAMP '1994-01-01 00:00:00' AS updated_at
-                FROM part WHERE p_type <> 'PROMO'),
+                       TIMESTAMP '1994-01-01 00:00:00' AS created_at,
+                       CASE WHEN p_partkey % 10 = 7 THEN TIMESTAMP '2030-01-01 00:00:00' ELSE TIMESTAMP '1994-01-01 00:00:00' END AS updated_at
+                FROM part),
 upd AS (SELECT CAST(l_partkey AS VARCHAR) AS uuid,
                arg_max(l_extendedprice, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice)) AS price,
                arg_max('Part ' || l_partkey || ' rev ' || l_orderkey, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice)) AS name,
@@ -51,17 +52,20 @@ upd AS (SELECT CAST(l_partkey AS VARCHAR) AS uuid,
         FROM lineitem GROUP BY 1)
 SELECT t.uuid, t.name, t.price, t.created_at, t.updated_at FROM target t WHERE t.uuid NOT IN (SELECT uuid FROM upd)
 UNION ALL
-SELECT u.uuid, u.name, u.price, COALESCE(t.created_at, u.ts) AS created_at, u.ts AS updated_at
+SELECT u.uuid, CASE WHEN t.updated_at > u.ts THEN t.name ELSE u.name END AS name,
+       CASE WHEN t.updated_at > u.ts THEN t.price ELSE u.price END AS price, COALESCE(t.created_at, u.ts) AS created_at,
+       CASE WHEN t.updated_at > u.ts THEN t.updated_at ELSE u.ts END AS updated_at
 FROM upd u LEFT JOIN target t ON u.uuid = t.uuid
 """)
 def upsert_latest_wins(spark, sf):
-    """Card table (parts, PROMO printings not loaded yet) upserted with a batch of
-    card updates (one per line item): newest update per card wins, created_at kept."""
-    part = table(spark, sf, "part").where(F.col("p_type") != "PROMO")
+    """Card table (parts) upserted with a batch of card updates (one per line item): the newest
+    update per card wins, created_at is kept, and rows newer than every update stay."""
+    part = table(spark, sf, "part")
+    newer = F.when(F.col("p_partkey") % 10 == 7, F.lit("2030-01-01 00:00:00")).otherwise(F.lit("1994-01-01 00:00:00"))
     target = part.select(F.col("p_partkey").cast("string").alias("uuid"), F.col("p_name").alias("name"),
                          F.col("p_retailprice").alias("price"),
                          F.lit("1994-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
-                         F.lit("1994-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"))
+                         newer.cast("timestamp_ntz").alias("updated_at"))
     li = spread(table(spark, sf, "lineitem"))  # sort-based newest-update aggregate: use every core
     updates = li.select(F.col("l_partkey").cast("string").alias("uuid"),
                         F.concat(F.lit("Part "), F.col("l_partkey").cast("string"), F.lit(" rev "),

@@ -67,14 +67,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is used as is. Only when it is
-    unset (local tests) a fresh scratch folder is created.
+    A cluster names a shared folder there; it is used as is. Only a local master gets a
+    fresh scratch folder when it is unset; elsewhere that is an error, as executors would
+    not see a folder on the driver's disk.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="cardlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

@@ -19,11 +19,11 @@ def read_deck_lines(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB) ->
     """(file_path, line) for every line of every deck file directly under ``path``.
 
     Lines are split on '\\n' only (a '\\r' stays and is trimmed by the parser),
-    as in the source tool. Unreadable files are skipped, not fatal.
+    as in the source tool. A file that cannot be read fails the job: skipping it would
+    leave a deck with part of its lines.
     """
     return (spark.read.option("lineSep", "\n")
             .option("pathGlobFilter", glob)
-            .option("ignoreCorruptFiles", "true")
             .text(path)
             .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line")))
 
@@ -36,7 +36,7 @@ def parse_deck_lines(lines: DataFrame, rule: str = "cli", line_col: str = "line"
                    split at the first single space; signed 64-bit integer > 0;
                    name (trimmed) not empty.
     rule='library' (library variant): Unicode trim; ^(\\d+)\\s+(.+)$; quantity >= 0
-                   (64-bit); a file with a line of 64 KiB or more is rejected whole.
+                   (64-bit). Lines may have any length.
 
     Output: path_col, quantity (bigint), card_name, plus the other input columns.
     With keep_rejects=True every line is kept with a ``reject_reason`` column
@@ -66,9 +66,6 @@ def parse_deck_lines(lines: DataFrame, rule: str = "cli", line_col: str = "line"
     # cannot be pushed below it, so the parse is not evaluated twice.
     result = F.struct(qty.alias("quantity"), name.alias("card_name"), reason.alias("reject_reason"))
     out = staged.select(*lines.columns, F.inline(F.array(result)))
-    if rule == "library":
-        too_long = lines.where(F.octet_length(raw) >= C.LIB_MAX_LINE_BYTES).select(path_col).distinct()
-        out = out.join(too_long, on=path_col, how="left_anti")
     if keep_rejects:
         return out
     return out.where(F.col("reject_reason").isNull()).drop("reject_reason")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -69,11 +68,10 @@ def price_batch(cards_table: str, out_dir: str, alert_threshold: float = 500.0):
     (re-read every batch, so new card versions are seen), append alerts and enriched rows."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            cards = spark.read.parquet(cards_table).select(
-                F.col("uuid").alias("card_uuid"), "name", "rarity", F.col("type").alias("card_type"))
-        except AnalysisException:  # no card table yet: every price is unmatched
-            cards = spark.createDataFrame([], "card_uuid string, name string, rarity string, card_type string")
+        table = S.read_if_there(spark, cards_table)
+        if table is None:  # no card table yet: every price is unmatched
+            table = spark.createDataFrame([], "uuid string, name string, rarity string, type string")
+        cards = table.select(F.col("uuid").alias("card_uuid"), "name", "rarity", F.col("type").alias("card_type"))
         e = J.enrich_prices(batch, cards).persist()
         try:
             # outputs are keyed by batch id: a replayed batch replaces, never duplicates
@@ -89,18 +87,30 @@ def price_batch(cards_table: str, out_dir: str, alert_threshold: float = 500.0):
     return write
 
 
+def running_table_batch(path: str, keys: list[str], n_buckets: int = 16):
+    """foreachBatch body of an update-mode aggregate: the changed rows replace those of their
+    keys in the table at ``path``, which other jobs can read and a restart goes on with."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        values = [c for c in batch.columns if c not in keys]
+        S.write_upsert(batch.withColumn("_at", F.current_timestamp()), path, keys, ["_at"], values, "_at", n_buckets=n_buckets)
+    return write
+
+
 def start_price_flow(price_messages: DataFrame, cards_table: str, out_dir: str, trigger: dict | None = None,
                      checkpoint_root: str | None = None, alert_threshold: float = 500.0,
                      expensive_threshold: float = 100.0) -> list[StreamingQuery]:
     """prices -> enriched prices + alerts (against the current card table), and the
-    running expensive-card and daily price statistics tables (update mode)."""
+    running expensive-card and daily price statistics tables (update mode, upserted into
+    ``out_dir``/expensive-cards and ``out_dir``/daily-price-stats)."""
     rows = E.decode_envelope(price_messages, schemas.PRICE_ROW).where(F.col("_error").isNull()).select("data.*")
     q1 = SJ.run_stream(rows, "price_enrich", sink=price_batch(cards_table, out_dir, alert_threshold),
                        trigger=trigger, checkpoint=_ck(price_messages, checkpoint_root, "price_enrich"))
     expensive = A.expensive(rows, ["card_uuid"], "price", expensive_threshold)
     q2 = SJ.run_stream(expensive, "expensive_cards", mode="update", trigger=trigger,
+                       sink=running_table_batch(os.path.join(out_dir, "expensive-cards"), ["card_uuid"]),
                        checkpoint=_ck(price_messages, checkpoint_root, "expensive_cards"))
     daily = A.price_stats(rows, ["date"], "price", 0.0)
     q3 = SJ.run_stream(daily, "daily_price_stats", mode="update", trigger=trigger,
+                       sink=running_table_batch(os.path.join(out_dir, "daily-price-stats"), ["date"]),
                        checkpoint=_ck(price_messages, checkpoint_root, "daily_price_stats"))
     return [q1, q2, q3]

@@ -68,7 +68,15 @@ def test_card_and_price_flows(spark, tmp):
         q.processAllAvailable(); q.stop()
     alerts = sorted(r.alert_message for r in spark.read.json(os.path.join(out, "price-alerts")).collect())
     assert alerts == ["ALERT:  is priced at $700.0", "ALERT: Lotus is priced at $900.0"]
-    assert spark.sql("SELECT count(*) AS n FROM expensive_cards").first().n == 2
+    assert spark.read.parquet(os.path.join(out, "expensive-cards")).count() == 2
+    # a restart from the checkpoint goes on with the tables
+    spark.createDataFrame([(price("u4", 800.0),), (price("u1", 950.0),)], "value string").write.mode("append").json(psrc)
+    for q in apps.start_price_flow(SJ.file_source(spark, psrc), os.path.join(out, "cards"), out,
+                                   trigger={"availableNow": True}, checkpoint_root=os.path.join(tmp, "ck")):
+        q.processAllAvailable(); q.stop()
+    expensive = {r.card_uuid for r in spark.read.parquet(os.path.join(out, "expensive-cards")).collect()}
+    assert expensive == {"u1", "u3", "u4"}
+    assert spark.read.parquet(os.path.join(out, "daily-price-stats")).count() == 1
     assert spark.read.parquet(os.path.join(out, "enriched")).count() == 2
 
 
