@@ -52,7 +52,8 @@ def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         base.groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         .select("digit", F.monotonically_increasing_id().alias("gid")), "radix-first")
     state = materialise(
-        base.join(shared, "digit", "left").select(
+        # a shuffle join at every size: AQE splits the rows of a hot digit
+        base.join(shared.hint("merge"), "digit", "left").select(
             "doc_id", "row", "gid", F.sha2("bytes", 256).alias("text_sha256"),
             F.when(F.col("gid").isNotNull(), _rest("bytes", FIRST_DIGIT)).alias("rest"))
         .withColumn("rid", F.monotonically_increasing_id()), "radix-state")
@@ -69,7 +70,7 @@ def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         groups = rows.groupBy("gid", "digit").agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias("head"))
         ended = (F.col("group_size") == 1) | (F.length("digit") < width)
         state = materialise(
-            rows.join(groups, ["gid", "digit"]).select(
+            rows.join(groups.hint("merge"), ["gid", "digit"]).select(
                 "doc_id", "row", "rid", "text_sha256", "group_size", F.col("head.doc_id").alias("keep_id"),
                 (F.col("rid") == F.col("head.rid")).alias("kept"), ended.alias("ended"),
                 F.when(~ended, F.col("head.rid")).alias("gid"),
