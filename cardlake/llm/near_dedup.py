@@ -261,8 +261,10 @@ def _candidates(level: DataFrame, reps: DataFrame, nearest: bool, branched: bool
 
 def _fetch_texts(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str, key_col: str) -> DataFrame:
     """id, bytes: a text of each of the representatives ``ids``. The only time that whole texts are
-    joined; rows that repeat an id come together, and of those a task passes one."""
-    heads = reps.join(ids, "id", "left_semi").select("id", "digest", F.col("head.key").alias("key"))
+    joined; of rows that repeat an id a task passes one, and one of those is kept. The keys are
+    written first, so that Spark knows their size: while that is below its broadcast threshold
+    only the texts found are shuffled, beyond it the join shuffles both sides."""
+    heads = materialise(reps.join(ids, "id", "left_semi").select("id", "digest", F.col("head.key").alias("key")), "near-heads")
     rows = docs.select(col(key_col).cast("long").alias("key"), utf8(text_col).alias("bytes")).join(heads, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +278,8 @@ def _fetch_texts(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str
                     keep.append(i)
             yield batch.select(["id", "bytes"]).take(pa.array(keep, pa.int64()))
 
-    return materialise(rows.select("id", "digest", "bytes").mapInArrow(run, "id long, bytes binary"), "near-texts")
+    found = rows.select("id", "digest", "bytes").mapInArrow(run, "id long, bytes binary")
+    return materialise(found.dropDuplicates(["id"]), "near-texts")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
