@@ -50,6 +50,34 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# ---------------------------------------------------------------- prefilter of joins
+
+FILTER_CHUNKS = 1024      # of 4096 bytes: a filter is 4 MB, whatever the input
+_CHUNK_BITS = 4096 * 8
+
+
+def may_match(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key`` may be in the one (long) column of ``keys``: all that are, and a few others.
+
+    To be put before a join that would shuffle whole rows of which few match. The keys set bits
+    of a bitmap of fixed size, which is all that is broadcast; with more keys than it has bits it
+    lets more rows pass and loses none. Null keys may pass, as in any other row.
+    """
+    def chunk(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c.cast("long")), F.lit(FILTER_CHUNKS))
+
+    def place(c: Column) -> Column:
+        return F.pmod(F.shiftright(F.xxhash64(c.cast("long")), 16), F.lit(_CHUNK_BITS))
+
+    own = F.col(keys.columns[0])
+    bitmap = (keys.select(chunk(own).alias("filter_chunk"), place(own).alias("filter_place")).repartition("filter_chunk")
+              .groupBy("filter_chunk").agg(F.bitmap_construct_agg("filter_place").alias("filter_bits")))
+    marked = rows.withColumn("filter_chunk", chunk(F.col(key))).withColumn("filter_place", place(F.col(key)).cast("int"))
+    byte = F.conv(F.hex(F.expr("substring(filter_bits, filter_place div 8 + 1, 1)")), 16, 10).cast("int")
+    bit = F.expr("shiftleft(1, filter_place % 8)")
+    return marked.join(F.broadcast(bitmap), "filter_chunk").where(byte.bitwiseAND(bit) != 0).select(*rows.columns)
+
+
 # ---------------------------------------------------------------- Arrow batches
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch],

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from cardlake.llm.common import col, corpus_hashes, gram_hashes, map_batches, materialise, mix, utf8
+from cardlake.llm.common import col, corpus_hashes, gram_hashes, map_batches, materialise, may_match, mix, utf8
 from cardlake.llm.components import components
 
 SHINGLE = 5          # words
@@ -152,7 +152,7 @@ def _first_level(reps: DataFrame) -> DataFrame:
 
 
 def _next_level(large: DataFrame, reps: DataFrame) -> DataFrame:
-    rows = large.select("node", "id", "n", "bits").join(reps.select("id", "sig"), "id")
+    rows = large.select("node", "id", "n", "bits").join(may_match(reps.select("id", "sig"), "id", large.select("id")), "id")
     return map_batches(rows, lambda b: _branch(b, b.column("node").to_numpy().view(np.uint64), False), _NODES)
 
 
@@ -172,11 +172,12 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def _open_nodes(rows: DataFrame) -> DataFrame:
     """The rows of nodes with documents of more than one component, with the node's count and
-    pivot (the smallest id; ids are random numbers)."""
-    rows = rows.repartition("node")   # one exchange, for the counts and for the join
+    pivot (the smallest id; ids are random numbers). The nodes are counted first: most have one
+    document, and their rows need not be shuffled whole."""
     nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("pivot"),
                                      F.min("label").alias("low"), F.max("label").alias("high"))
-    return rows.join(nodes.where("low != high").drop("low", "high"), "node")
+    nodes = materialise(nodes.where("low != high").drop("low", "high"), "near-nodes")
+    return may_match(rows, "node", nodes.select("node")).join(nodes, "node")
 
 
 def _stars(rows: DataFrame) -> DataFrame:
@@ -195,7 +196,7 @@ def _small_pairs(rows: DataFrame) -> DataFrame:
         F.col("id").alias("u"), F.col("id2").alias("v"), (4 * F.expr("bit_count(bits ^ bits2)")).alias("apart"))
 
 
-def _large_pairs(rows: DataFrame, reps: DataFrame, nearest: bool) -> DataFrame:
+def _large_pairs(rows: DataFrame, ids: DataFrame, reps: DataFrame, nearest: bool) -> DataFrame:
     """The same in larger nodes, one node (or pair of blocks) of at most 2 * ``LARGE`` documents in a task
     at a time, compared in strips; the byte sketch sharpens the choice. With ``nearest`` only the
     nearest one of each document, else a pair in the first of the nodes that it shares."""
@@ -231,7 +232,7 @@ def _large_pairs(rows: DataFrame, reps: DataFrame, nearest: bool) -> DataFrame:
         u, v, apart = (np.concatenate([o[k] for o in out]) for k in range(3))
         return pa.table({"u": u, "v": v, "apart": apart})
 
-    rows = rows.join(reps.select("id", "sig", "sketch"), "id")
+    rows = rows.join(may_match(reps.select("id", "sig", "sketch"), "id", ids), "id")
     return rows.groupBy("node", "low", "high").applyInArrow(run, "u long, v long, apart int")
 
 
@@ -250,7 +251,7 @@ def _candidates(level: DataFrame, reps: DataFrame, nearest: bool, branched: bool
     if branched:  # then only the slots at which a document's node is compared whole
         slots = level.groupBy("id").agg(F.expr("bit_or(if(slot < 0, 0L, shiftleft(1L, slot)))").alias("slots"))
         large = large.drop("slots").join(slots, "id")
-    pairs = _small_pairs(level.where(F.col("docs") <= SMALL)).unionByName(_large_pairs(_in_blocks(large), reps, nearest))
+    pairs = _small_pairs(level.where(F.col("docs") <= SMALL)).unionByName(_large_pairs(_in_blocks(large), large.select("id"), reps, nearest))
     if nearest:
         ends = F.explode(F.array(F.struct(F.col("u").alias("of"), F.col("v").alias("to")),
                                  F.struct(F.col("v").alias("of"), F.col("u").alias("to")))).alias("end")
@@ -261,11 +262,11 @@ def _candidates(level: DataFrame, reps: DataFrame, nearest: bool, branched: bool
 
 def _fetch_texts(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str, key_col: str) -> DataFrame:
     """id, bytes: a text of each of the representatives ``ids``. The only time that whole texts are
-    joined; of rows that repeat an id a task passes one, and one of those is kept. The keys are
-    written first, so that Spark knows their size: while that is below its broadcast threshold
-    only the texts found are shuffled, beyond it the join shuffles both sides."""
+    joined, and few others than those found are shuffled; of rows that repeat an id a task passes
+    one, and one of those is kept."""
     heads = materialise(reps.join(ids, "id", "left_semi").select("id", "digest", F.col("head.key").alias("key")), "near-heads")
-    rows = docs.select(col(key_col).cast("long").alias("key"), utf8(text_col).alias("bytes")).join(heads, "key")
+    rows = docs.select(col(key_col).cast("long").alias("key"), utf8(text_col).alias("bytes"))
+    rows = may_match(rows, "key", heads.select("key")).join(heads, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -284,8 +285,10 @@ def _fetch_texts(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar."""
-    rows = (pairs.join(texts.select(F.col("id").alias("v"), F.col("bytes").alias("right")), "v")
-            .join(texts.select(F.col("id").alias("u"), F.col("bytes").alias("left")), "u").select("u", "v", "left", "right"))
+    def side(end: str, name: str) -> DataFrame:
+        return may_match(texts, "id", pairs.select(end)).select(F.col("id").alias(end), F.col("bytes").alias(name))
+
+    rows = pairs.join(side("v", "right"), "v").join(side("u", "left"), "u").select("u", "v", "left", "right")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep, sets = [], {}
