@@ -262,8 +262,8 @@ def _candidates(level: DataFrame, reps: DataFrame, nearest: bool, branched: bool
 
 def _fetch_texts(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str, key_col: str) -> DataFrame:
     """id, bytes: a text of each of the representatives ``ids``. The only time that whole texts are
-    joined, and few others than those found are shuffled; of rows that repeat an id a task passes
-    one, and one of those is kept."""
+    joined, and few others than those found are shuffled. Of rows that repeat an id a task passes
+    one; several tasks may pass the same."""
     heads = materialise(reps.join(ids, "id", "left_semi").select("id", "digest", F.col("head.key").alias("key")), "near-heads")
     rows = docs.select(col(key_col).cast("long").alias("key"), utf8(text_col).alias("bytes"))
     rows = may_match(rows, "key", heads.select("key")).join(heads, "key")
@@ -280,13 +280,14 @@ def _fetch_texts(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str
             yield batch.select(["id", "bytes"]).take(pa.array(keep, pa.int64()))
 
     found = rows.select("id", "digest", "bytes").mapInArrow(run, "id long, bytes binary")
-    return materialise(found.dropDuplicates(["id"]), "near-texts")
+    return materialise(found, "near-texts")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar."""
     def side(end: str, name: str) -> DataFrame:
-        return may_match(texts, "id", pairs.select(end)).select(F.col("id").alias(end), F.col("bytes").alias(name))
+        # one text of each id; the exchange by id is also the join's
+        return may_match(texts, "id", pairs.select(end)).dropDuplicates(["id"]).select(F.col("id").alias(end), F.col("bytes").alias(name))
 
     rows = pairs.join(side("v", "right"), "v").join(side("u", "left"), "u").select("u", "v", "left", "right")
 
