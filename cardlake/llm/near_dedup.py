@@ -32,7 +32,7 @@ from cardlake.llm.components import components
 SHINGLE = 5          # words
 SIMILARITY = 75      # per cent: links have 100 * intersection >= 75 * union
 POSITIONS = 32       # of the signature
-TREES = 10           # at depth 2 a pair of similarity 0.75 is missed by all with p < 0.002
+TREES = 10           # a pair of similarity 0.75 is missed by all with p < 0.002 at every depth
 SMALL = 64           # documents of a node that is compared by a join
 LARGE = 2048         # of a block; a node of at most two blocks is compared whole, a wider one branches
 DEPTH = 4            # levels of branching; wider nodes are then compared block by block
@@ -98,13 +98,12 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return (mix(x) >> _U(11)).astype(np.float64) / float(1 << 53)
 
 
-def _chosen(node: np.ndarray, root: bool) -> np.ndarray:
+def _chosen(node: np.ndarray) -> np.ndarray:
     """For each node the positions it branches on (nodes x positions): each with probability
-    1 / (similarity * positions), at a tree's root one at least."""
+    1 / (similarity * positions), and one at least, so that no node drops its documents."""
     u = _uniform(node[:, None] * _U(0x9E3779B97F4A7C15) + _SALT[None, :])
     pick = u < 100 / (SIMILARITY * POSITIONS)
-    if root:
-        pick[np.arange(len(node)), u.argmin(axis=1)] = True
+    pick[np.arange(len(node)), u.argmin(axis=1)] = True
     return pick
 
 
@@ -123,7 +122,7 @@ _ROWS = ("node", "slot", "id", "n", "bits")
 def _branch(batch: pa.RecordBatch, nodes: np.ndarray, root: bool) -> pa.RecordBatch:
     """Rows of the children of ``nodes`` (one node per row of the batch)."""
     sig = _signatures(batch)
-    row, position = np.nonzero(_chosen(nodes, root))
+    row, position = np.nonzero(_chosen(nodes))
     child = _child(nodes[row], position, sig[row, position]).view(np.int64)
     kept = batch.select(["id", "n", "bits"]).take(pa.array(row))
     places = np.full(POSITIONS, -1, np.int32)
@@ -139,7 +138,7 @@ def _roots() -> np.ndarray:
 
 
 # the branches of all roots, as (root, position); a row of the first level has its index as slot
-_SLOTS = [(int(r), int(p)) for r in _roots() for p in np.flatnonzero(_chosen(np.array([r], np.uint64), True)[0])]
+_SLOTS = [(int(r), int(p)) for r in _roots() for p in np.flatnonzero(_chosen(np.array([r], np.uint64))[0])]
 
 
 def _first_level(reps: DataFrame) -> DataFrame:
