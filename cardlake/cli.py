@@ -53,8 +53,14 @@ def ingest_catalog(spark, out: str, sets_path: str | None = None, atomic_path: s
     """Landed catalogue dumps (one ``{"key", "doc"}`` JSON object per line) -> event
     folders standing in for topics: sets (cards stripped, key = set code), cards (one
     per card of every set and per atomic card, key = uuid) and prices (one per price
-    leaf, key = price-<uuid>-<date>). All events of one ingest share one stamp."""
+    leaf, key = price-<uuid>-<date>). All events of one ingest share one stamp. Documents that
+    give no event go to the folder rejects (input, key, reason, length, stamp)."""
     stamp = F.lit(datetime.now(timezone.utc)).cast("timestamp")
+    for kind, path in (("sets", sets_path), ("atomic", atomic_path), ("prices", prices_path)):
+        if path:
+            CAT.document_rejects(CAT.read_landed(spark, path), kind=kind).select(
+                F.lit(kind).alias("input"), "key", "reason", "length", stamp.alias("ingested_at")) \
+                .write.mode("append").json(os.path.join(out, "rejects"))
     card_events = []
     if sets_path:
         sets, cards = CAT.flatten_sets(CAT.read_landed(spark, sets_path), processed_at=stamp)
