@@ -3,8 +3,9 @@
 Envelope analogue: each event is published as
 {"eventType": <event_type>, "eventId": "<event_id>", "timestamp": <ts>, "source": "events",
  "version": "v1", "data": <props>}
-where ts is epoch millis, except 'signup' events, which carry RFC-3339 text, and
-'error' events, which are cut short (malformed JSON).
+where ts is epoch millis, except 'signup' events, which carry RFC-3339 text. In
+``events_as_messages`` 'error' events are cut short (malformed JSON);
+``events_as_whole_messages`` cuts none.
 """
 
 from __future__ import annotations
@@ -23,15 +24,23 @@ from cardlake.sources import envelopes as E
 PROPS = StructType([StructField("k", LongType())])
 
 
-def events_as_messages(ev: DataFrame) -> DataFrame:
+def events_as_whole_messages(ev: DataFrame) -> DataFrame:
     ts_text = F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit('Z"'))
     ts_val = F.when(F.col("event_type") == "signup", ts_text).otherwise(
         F.unix_millis(F.col("ts").cast("timestamp")).cast("string"))
     full = F.concat(F.lit('{"eventType":"'), F.col("event_type"), F.lit('","eventId":"'),
                     F.col("event_id").cast("string"), F.lit('","timestamp":'), ts_val,
                     F.lit(',"source":"events","version":"v1","data":'), F.col("props"), F.lit("}"))
-    value = F.when(F.col("event_type") == "error", F.substring(full, 1, 30)).otherwise(full)
-    return ev.select(F.col("event_id").alias("offset"), value.alias("value"))
+    return ev.select(F.col("event_id").alias("offset"), full.alias("value"), "event_type")
+
+
+def _cut(value):
+    return F.substring(value, 1, 30)
+
+
+def events_as_messages(ev: DataFrame) -> DataFrame:
+    value = F.when(F.col("event_type") == "error", _cut("value")).otherwise(F.col("value"))
+    return events_as_whole_messages(ev).select("offset", value.alias("value"))
 
 
 def _events(spark, sf):
@@ -50,12 +59,34 @@ SELECT event_id AS "offset",
 FROM events
 """)
 def envelope_decode(spark, sf):
-    msgs = events_as_messages(spread(_events(spark, sf)))  # JSON parse per message: use every core
+    return _decoded(events_as_messages(spread(_events(spark, sf))))  # JSON parse per message: use every core
+
+
+def _decoded(msgs: DataFrame) -> DataFrame:
     d = E.decode_envelope(msgs, PROPS, keep=("offset",))
     return d.select("offset", "eventType", "eventId", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"),
                     "source", F.col("data.k").alias("k"), "_error")
 
 
+CUT_OFFSET = 2_000_000_000_000  # the cut copies of the error messages come under new offsets
+
+
+@register("envelope_decode_whole", """
+SELECT event_id AS "offset", event_type AS eventType, CAST(event_id AS VARCHAR) AS eventId,
+       CASE WHEN event_type = 'signup' THEN ts ELSE make_timestamp(epoch_us(ts) // 1000 * 1000) END AS event_ts,
+       'events' AS source, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS _error
+FROM events
+UNION ALL
+SELECT event_id + 2000000000000, NULL, NULL, NULL, NULL, NULL, 'malformed' FROM events WHERE event_type = 'error'
+""")
+def envelope_decode_whole(spark, sf):
+    """Every message decoded whole; the malformed ones are rows of their own beside them."""
+    msgs = events_as_whole_messages(spread(_events(spark, sf)))
+    cut = msgs.where(F.col("event_type") == "error").select(
+        (F.col("offset") + F.lit(CUT_OFFSET)).alias("offset"), _cut("value").alias("value"))
+    return _decoded(msgs.select("offset", "value").unionByName(cut))
+
+
 @register("topic_preview", """
 SELECT event_id AS "offset", event_type, user_id, ts, value FROM events ORDER BY event_id LIMIT 10
 """)
