@@ -265,7 +265,26 @@ def _fetch_texts(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str
     one; several tasks may pass the same."""
     heads = materialise(reps.join(ids, "id", "left_semi").select("id", "digest", F.col("head.key").alias("key")), "near-heads")
     rows = docs.select(col(key_col).cast("long").alias("key"), utf8(text_col).alias("bytes"))
-    rows = may_match(rows, "key", heads.select("key")).join(heads, "key")
+    found = may_match(rows, "key", heads.select("key")).join(heads, "key").select("id", "digest", "bytes")
+    nameless = heads.where("key is null").select("id", "digest").withColumn("mark", F.xxhash64("digest"))
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            keep, out = [], []
+            for i, words in corpus_hashes(batch.column("bytes").to_pylist(), lower=True):
+                digest = set_digest(shingle_set(words))
+                if digest not in seen:
+                    seen.add(digest)
+                    keep.append(i)
+                    out.append(digest)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out, pa.binary()), batch.column("bytes").take(pa.array(keep, pa.int64()))], ["digest", "bytes"])
+
+    if not nameless.isEmpty():  # all rows of these sets have a null key: their digest finds them
+        unnamed = rows.where("key is null").select("bytes").mapInArrow(digests, "digest binary, bytes binary")
+        unnamed = may_match(unnamed.withColumn("mark", F.xxhash64("digest")), "mark", nameless.select("mark"))
+        found = found.unionByName(unnamed.select("digest", "bytes").join(nameless, "digest").select("id", "digest", "bytes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -278,8 +297,7 @@ def _fetch_texts(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str
                     keep.append(i)
             yield batch.select(["id", "bytes"]).take(pa.array(keep, pa.int64()))
 
-    found = rows.select("id", "digest", "bytes").mapInArrow(run, "id long, bytes binary")
-    return materialise(found, "near-texts")
+    return materialise(found.mapInArrow(run, "id long, bytes binary"), "near-texts")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -312,9 +330,9 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     component_id is the smallest doc_id of the component. kept marks the rows whose doc_id that
     is; with ``row_col`` exactly one row of each component (of rows repeating the doc_id, one).
     Null and empty texts, and texts of blanks, have no shingles: each row is its own component
-    and kept. Rows with equal sets are one class, whatever their number. Without ``row_col`` a
-    class whose ids are all null is linked with nothing but its copies, as its text cannot be
-    found again by an id; its rows are kept. An empty table gives an empty table.
+    and kept. Rows with equal sets are one class, whatever their number. Rows with a null doc_id
+    are linked like any other; a component whose ids are all null has a null component_id, and
+    without ``row_col`` all its rows are kept. An empty table gives an empty table.
     """
     signed = materialise(sign(docs, text_col, id_col, row_col), "near-signed")
     key_col = row_col or id_col
