@@ -55,8 +55,17 @@ def op5_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(_read(spark, sf_dir, "pages"), path)
-    return warc.read_archive(spark, path).select(
-        "page_id", F.length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
+    return checked_records(warc.read_archive(spark, path))
+
+
+def checked_records(records: DataFrame) -> DataFrame:
+    """The contract columns of archive records. Every row's record is rebuilt and its payload checked
+    against the header's digest; a record that fails either fails the query."""
+    tail = F.concat(F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b"")), F.lit(b"\r\n\r\n"))
+    whole = F.coalesce(F.col("verified") & F.expr("startswith(record, cast('WARC/1.1' as binary))") & F.endswith("record", tail), F.lit(False))
+    return records.select(
+        "page_id", F.length("payload").cast("long").alias("payload_bytes"),
+        F.when(whole, F.col("payload_digest")).otherwise(F.raise_error(F.lit("a record of the archive is not whole"))).alias("payload_digest"),
         "record_type", "refers_to")
 
 
