@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import exact_dedup, mixing, near_dedup, quality, sharding, sp_codec, substring_dedup, token_cache, toxicity, warc
+from cardlake.llm import conversation, exact_dedup, mixing, near_dedup, quality, sharding, sp_codec, substring_dedup, token_cache, toxicity, warc
 from cardlake.llm.common import scratch_path
 
 HELD_OUT_FOLD, FOLDS = 2, 4
@@ -91,9 +91,14 @@ def op10_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_read(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_rank_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _read(spark, sf_dir, "conversations")
+    return conversation.repair_reports(conversation.damaged(conversations), conversations.select("conv_id")).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity_mil, op2_chosen_path, op3_radix_dedup, op4_rabin_karp, op5_prefix_viterbi, op6_warc_archive,
-    op7_prefix_shards, op8_token_cache, op9_rule_ledger, op10_cube_mix)}
+    op7_prefix_shards, op8_token_cache, op9_rule_ledger, op10_cube_mix, op11_rank_viterbi)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
