@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import conversation, exact_dedup, mixing, near_dedup, quality, sharding, sp_codec, substring_dedup, token_cache, toxicity, warc
+from cardlake.llm import conversation, exact_dedup, mixing, near_dedup, personal_data, quality, sharding, sp_codec, substring_dedup, token_cache, toxicity, warc
 from cardlake.llm.common import scratch_path
 
 HELD_OUT_FOLD, FOLDS = 2, 4
@@ -96,13 +96,69 @@ def op11_rank_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.repair_reports(conversation.damaged(conversations), conversations.select("conv_id")).withColumnRenamed("conv", "conv_id")
 
 
+def op12_span_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_spans(_read(spark, sf_dir)).withColumn("base", F.filter("spans", lambda x: x["base"]))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in personal_data.KINDS[:4]]
+    return found.select("row.doc_id", *counts, F.sha2(personal_data.span_text(F.col("base")), 256).alias("base_sha256"),
+                        personal_data.span_text(F.col("spans")).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity_mil, op2_chosen_path, op3_radix_dedup, op4_rabin_karp, op5_prefix_viterbi, op6_warc_archive,
-    op7_prefix_shards, op8_token_cache, op9_rule_ledger, op10_cube_mix, op11_rank_viterbi)}
+    op7_prefix_shards, op8_token_cache, op9_rule_ledger, op10_cube_mix, op11_rank_viterbi, op12_span_rules)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+
+
+def _span_sql() -> str:
+    """The spans of personal data: each proposal's matches and the pieces between them give offsets and context."""
+    digits = "regexp_replace(hit, '[^0-9]', '', 'g')"
+    luhn = (f"list_sum(list_transform(range(length({digits})), lambda i: CASE WHEN i % 2 = 0 THEN CAST({digits}[length({digits}) - i] AS INT) "
+            f"ELSE CAST('0246813579'[CAST({digits}[length({digits}) - i] AS INT) + 1] AS INT) END)) % 10 = 0")
+    account = "replace(hit, ' ', '')"
+    moved = f"string_split({account}[5:] || {account}[:4], '')"
+    rest = f"list_reduce(list_prepend(0, list_transform({moved}, lambda c: ascii(c))), lambda a, c: CASE WHEN c < 58 THEN (a * 10 + c - 48) % 97 ELSE (a * 100 + c - 55) % 97 END)"
+    valid = {"email": "true", "tel": "true", "ip": f"regexp_matches(hit, '{personal_data.IP_VALID}')",
+             "card": f"length({digits}) BETWEEN 14 AND 19 AND {luhn}", "phone": f"length({digits}) BETWEEN 10 AND 15",
+             "iban": f"length({account}) BETWEEN 15 AND 34 AND {rest} = 1", "ssn": f"NOT regexp_matches(hit, '{personal_data.NOT_SSN}')"}
+    parts = []
+    for n, p in enumerate(personal_data.PROPOSALS):
+        pattern = {"card": p.plain.replace("+", "{13,}") if p.base else "[0-9]{14,}"}.get(p.kind, p.plain)
+        edges = f"AND NOT regexp_matches(before, '[{p.edge}]$') AND NOT regexp_matches(after, '^[{p.edge}]')" if p.edge else ""
+        parts.append(f"""
+  SELECT r, {n} AS proposal, {personal_data.KINDS.index(p.kind)} AS rank, '{p.kind}' AS kind, {p.level} AS level, {str(p.base).lower()} AS base, start, stop,
+         {valid[p.kind]} {edges} AS fine,
+         {p.confidence} + CASE WHEN regexp_matches(near, '{personal_data.near_words(p.words)}') THEN {personal_data.CONTEXT_BONUS} ELSE 0 END
+           - CASE WHEN regexp_matches(near, '{personal_data.near_words(personal_data.AGAINST)}') THEN {personal_data.AGAINST_MALUS} ELSE 0 END AS score
+  FROM (SELECT *, translate(before || '#' || after, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS near
+        FROM (SELECT r, hit, stop - length(hit) AS start, stop, right(piece, {personal_data.NEAR_BEFORE}) AS before, left(following, {personal_data.NEAR_AFTER}) AS after
+              FROM (SELECT *, sum(length(piece) + length(hit)) OVER (PARTITION BY r ORDER BY i) AS stop
+                    FROM (SELECT r, i, hits[i] AS hit, pieces[i] AS piece, pieces[i + 1] AS following
+                          FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i
+                                FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS hits, string_split_regex(t, '{pattern}') AS pieces FROM d))))))""")
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+raw AS ({" UNION ALL ".join(parts)}),
+f AS (SELECT * FROM raw WHERE fine AND (base OR score >= {personal_data.THRESHOLD})),
+s AS (SELECT *, {", ".join(f"max(CASE WHEN level < {n} THEN stop END) OVER ahead AS reach{n}, min(CASE WHEN level < {n} THEN start END) OVER behind AS onset{n}" for n in (1, 2))} FROM f
+      WINDOW ahead AS (PARTITION BY r ORDER BY start, rank, stop, level ROWS UNBOUNDED PRECEDING),
+             behind AS (PARTITION BY r ORDER BY start, rank, stop, level ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+k AS (SELECT r, start, rank, stop, base, kind, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM s
+      WHERE CASE level WHEN 0 THEN true WHEN 1 THEN coalesce(reach1, 0) <= start AND coalesce(onset1, stop) >= stop
+                 ELSE coalesce(reach2, 0) <= start AND coalesce(onset2, stop) >= stop END),
+g AS (SELECT r, {", ".join(f"count(*) FILTER (base AND kind = '{kind}') AS n_{kind}" for kind in personal_data.KINDS[:4])},
+             string_agg(span, ',' ORDER BY start, rank, stop) FILTER (base) AS base_spans, string_agg(span, ',' ORDER BY start, rank, stop) AS spans FROM k GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in personal_data.KINDS[:4])}, sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)"""
+
+
 ORACLE = {
+    "op12_span_rules": _span_sql(),
     "op2_chosen_path": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
