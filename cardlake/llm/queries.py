@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import conversation, exact_dedup, mixing, near_dedup, personal_data, quality, sharding, sp_codec, substring_dedup, token_cache, toxicity, warc
+from cardlake.llm import conversation, exact_dedup, mixing, near_dedup, personal_data, quality, sharding, sp_codec, spelling, substring_dedup, token_cache, toxicity, warc
 from cardlake.llm.common import scratch_path
 
 HELD_OUT_FOLD, FOLDS = 2, 4
@@ -107,9 +107,14 @@ def op12_span_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         personal_data.span_text(F.col("spans")).alias("spans"))
 
 
+def op13_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.runs(_read(spark, sf_dir))
+    return spelling.variants(spelling.count_words(runs.select(spelling.misspelt(F.col("run"), F.col("doc_id")).alias("word"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity_mil, op2_chosen_path, op3_radix_dedup, op4_rabin_karp, op5_prefix_viterbi, op6_warc_archive,
-    op7_prefix_shards, op8_token_cache, op9_rule_ledger, op10_cube_mix, op11_rank_viterbi, op12_span_rules)}
+    op7_prefix_shards, op8_token_cache, op9_rule_ledger, op10_cube_mix, op11_rank_viterbi, op12_span_rules, op13_gram_variants)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -158,6 +163,24 @@ FROM d LEFT JOIN g USING (r)"""
 
 
 ORACLE = {
+    # crc32 byte by byte (the letters take one or two bytes); near words meet in what is left of them without one letter
+    "op13_gram_variants": rf"""
+WITH t AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc),
+r AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{{{00C0}}}}-\x{{{{00FF}}}}]{{{{7,}}}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+c AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL),
+b AS (SELECT *, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+             lambda ch: CASE WHEN unicode(ch) < 128 THEN [CAST(unicode(ch) AS BIGINT)] ELSE [192 + unicode(ch) // 64, 128 + unicode(ch) % 64] END)) AS bytes FROM c),
+h AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, x: xor(a // 256, crc[xor(a % 256, x) + 1])), 4294967295) AS h FROM b, t),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n FROM h GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2),
+d AS (SELECT word, n, p, word[:p - 1] || word[p + 1:] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM w)),
+pairs AS (SELECT a.word AS a, b.word AS b, b.n FROM d a JOIN d b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+          UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.rest = w.word UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.rest = w.word),
+best AS (SELECT a AS word, count(*) AS n_near, max(n) AS top FROM pairs GROUP BY a),
+forms AS (SELECT a AS word, min(b) AS form FROM pairs JOIN best ON a = best.word AND pairs.n = top GROUP BY a),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 10 * w.n THEN form END AS form, CASE WHEN top >= 10 * w.n THEN top END AS form_n
+      FROM w LEFT JOIN best USING (word) LEFT JOIN forms USING (word)),
+way AS (SELECT word, word AS root FROM f UNION ALL SELECT way.word, f.form FROM way JOIN f ON way.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.root, f.n, f.n_near, f.form_n FROM f JOIN way USING (word) JOIN f AS last ON last.word = way.root AND last.form IS NULL""".replace("WITH t", "WITH RECURSIVE t").replace("{{", "{").replace("}}", "}"),
     "op12_span_rules": _span_sql(),
     "op2_chosen_path": r"""
 WITH RECURSIVE w AS (
