@@ -157,3 +157,21 @@ def tumbling_reduce(df: DataFrame, ts_col: str, key_col: str, qty_col: str, name
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "deck_id", "deck_name", "total_cards", "card_events",
                       C.estimate_value("total_cards", unit_price).alias("total_value"))
+
+
+def running_changes(df: DataFrame, keys: list[str], batch_col: str, aggs: dict[str, tuple[str, Column]]) -> DataFrame:
+    """EMIT CHANGES of a running aggregate over batches: keys, seq (1, 2, ... per key), batch, before and after.
+
+    ``aggs`` names each value with its kind ('sum', 'max' or 'min') and the column of ``df``; a count is the
+    sum of 1. A row comes out for each batch that changes a key's values (compared with NULLs equal); before is
+    NULL in a key's first row. Applying the rows in order of seq to an empty table gives the running table.
+    Rows are combined per key and batch before the window, so a hot key costs one row per batch.
+    """
+    fold = {"sum": F.sum, "max": F.max, "min": F.min}
+    per_batch = df.groupBy(*keys, F.col(batch_col).alias("batch")).agg(*[fold[kind](c).alias(name) for name, (kind, c) in aggs.items()])
+    by_key = Window.partitionBy(*keys).orderBy("batch")
+    so_far = by_key.rowsBetween(Window.unboundedPreceding, 0)
+    after = F.struct(*[fold[kind](name).over(so_far).alias(name) for name, (kind, _) in aggs.items()])
+    images = per_batch.select(*keys, "batch", after.alias("after")).withColumn("before", F.lag("after").over(by_key))
+    changed = images.where(~F.col("before").eqNullSafe(F.col("after")))
+    return changed.select(*keys, F.row_number().over(by_key).cast("long").alias("seq"), "batch", "before", "after")

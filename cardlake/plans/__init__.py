@@ -28,4 +28,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     # Import for the side effect of registering every plan module.
-    from cardlake.plans import decks, catalog, prices, cards, events, validation  # noqa: F401
+    from cardlake.plans import decks, catalog, prices, cards, events, validation, versions  # noqa: F401
