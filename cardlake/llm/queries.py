@@ -46,8 +46,7 @@ def op4_rabin_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_prefix_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = sp_codec.encode(_read(spark, sf_dir), model)
-    return sp_codec.decode(encoded, model).select(
+    return sp_codec.round_trip(_read(spark, sf_dir), model).select(
         F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2("bytes", 256).alias("decoded_sha256"))
 
