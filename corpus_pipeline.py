@@ -24,7 +24,7 @@ from cardlake.llm import exact_dedup, mixing, near_dedup, quality, sp_codec
 from cardlake.llm.common import col, materialise
 
 MODEL = "piece_bpe_32k.model"
-ORACLE_SQL = None   # the mix draws at random and the tokens need the model file: tested by brute force
+ORACLE_SQL = None   # the mix draws at random and the tokens need the model file: tested stage by stage against brute force
 
 
 def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -40,7 +40,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(docs, carry=docs.columns).where("kept").select("row.*")
+    rows, row = _numbered(docs, "exact-input")
+    kept = exact_dedup.exact_dedup(rows, carry=[row]).where("kept").select(F.col("row")[row].alias(row))
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +61,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(MODEL)
     carried = [c for c in docs.columns if c not in ("text", "token_ids", "n_tokens")]
-    coded = sp_codec.decode(sp_codec.encode(docs, path, carry=carried), path)
+    coded = sp_codec.round_trip(docs, path, carry=carried)
     named = {c: F.col("row")[c].alias(c) for c in carried} | {"text": F.col("bytes").cast("string").alias("text")}
     return coded.select(*[named[c] for c in docs.columns if c in named],
                         F.col("ids").alias("token_ids"), F.size("ids").cast("long").alias("n_tokens"))
