@@ -27,20 +27,24 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def ingest_decks(spark, directory: str, rule: str = "cli", out: str | None = None,
-                 dry_run: bool = False) -> dict:
-    lines = D.read_deck_lines(spark, directory)
+                 dry_run: bool = False, empty_files: bool = False) -> dict:
+    """Deck files -> deck and deck-card events (or printed decks). ``empty_files``: files without a byte are decks of
+    no cards too, as the command line has it."""
+    lines = D.read_deck_lines(spark, directory, with_place=True)
     graded, obs = observe_rejects(D.parse_deck_lines(lines, rule=rule, keep_rejects=True), "deck_lines")
     accepted = graded.where(F.col("reject_reason").isNull()).drop("reject_reason")
     decks = D.summarise_decks(graded, rule=rule)
+    if empty_files:
+        decks = decks.unionByName(D.empty_decks(spark, directory, rule))
+    decks = D.with_cards(decks, graded).withColumn("ingested_at", F.current_timestamp().cast("string"))
     if dry_run:
         # every deck is printed; one partition at a time is on the driver
         for js in decks.orderBy("file_path").toJSON().toLocalIterator():
             print(json.dumps(json.loads(js), indent=2))
     else:
         target = out or os.path.join(directory, "_events")
-        deck_ev = E.build_envelope(decks.withColumn("ingested_at", F.current_timestamp().cast("string")),
-                                   schemas.EVENT_DECK, schemas.SOURCE_DECKS, schemas.VERSION_DECKS,
-                                   payload=["id", "name", "file_path", "total_cards", "unique_cards", "ingested_at"])
+        deck_ev = E.build_envelope(decks, schemas.EVENT_DECK, schemas.SOURCE_DECKS, schemas.VERSION_DECKS,
+                                   payload=["id", "name", "file_path", "total_cards", "unique_cards", "ingested_at", "cards"])
         card_ev = E.build_envelope(D.deck_cards(accepted, rule=rule), schemas.EVENT_DECK_CARD, schemas.SOURCE_DECKS,
                                    schemas.VERSION_DECKS, payload=["deck_id", "deck_name", "card_name", "quantity"])
         deck_ev.write.mode("append").json(os.path.join(target, "decks"))
@@ -65,7 +69,7 @@ def ingest_catalog(spark, out: str, sets_path: str | None = None, atomic_path: s
     if sets_path:
         sets, cards = CAT.flatten_sets(CAT.read_landed(spark, sets_path), processed_at=stamp)
         E.build_envelope(sets, schemas.EVENT_SET, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE,
-                         payload=sets.columns, payload_key="set", timestamp=stamp, key=F.col("code")) \
+                         payload=sets.columns, payload_key="set", timestamp=stamp, key=F.col("code"), headers=True) \
             .write.mode("append").json(os.path.join(out, "sets"))
         card_events.append(cards.drop("set_code"))
     if atomic_path:
@@ -73,14 +77,14 @@ def ingest_catalog(spark, out: str, sets_path: str | None = None, atomic_path: s
                            .withColumn("processedAt", stamp.cast("string")))
     for cards in card_events:
         E.build_envelope(cards, schemas.EVENT_CARD, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE,
-                         payload=cards.columns, payload_key="card", timestamp=stamp, key=F.col("uuid")) \
+                         payload=cards.columns, payload_key="card", timestamp=stamp, key=F.col("uuid"), headers=True) \
             .write.mode("append").json(os.path.join(out, "cards"))
     if prices_path:
         rows = CAT.flatten_price_tree(CAT.read_landed(spark, prices_path))
         key = C.price_event_key("card_uuid", F.to_date("date"))
         E.build_envelope(rows, schemas.EVENT_PRICE, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE,
                          payload=["card_uuid", "format", "source", "type", "foil", "date", "price"],
-                         timestamp=stamp, key=key) \
+                         timestamp=stamp, key=key, headers=True) \
             .write.mode("append").json(os.path.join(out, "prices"))
 
 
@@ -114,7 +118,7 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = build_session(app_name=f"cardlake-{a.cmd}")
     if a.cmd == "decks":
-        print(json.dumps({"line_counts": ingest_decks(spark, a.directory, a.rule, a.out, a.dry_run)}))
+        print(json.dumps({"line_counts": ingest_decks(spark, a.directory, a.rule, a.out, a.dry_run, empty_files=True)}))
     elif a.cmd == "catalog":
         ingest_catalog(spark, a.out, a.sets, a.atomic, a.prices)
     else:

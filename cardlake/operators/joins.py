@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlake.operators.aggregates import latest_row
+from cardlake.session import cut_lineage
 
 
 def enrich_prices(prices: DataFrame, cards_latest: DataFrame, price_key: str = "card_uuid",
@@ -72,6 +73,33 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str, ver
     return out.select("_f.*", *[F.col(f"_m.{c}").alias(c) for c in version_cols])
 
 
+def asof_join_pieces(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str, version_ts: str,
+                     version_cols: list[str], version_tiebreak: str | None = None) -> DataFrame:
+    """``asof_join`` whose tasks are even whatever a key or an instant holds.
+
+    Both sides are range partitioned together by (key, time, side) and a random last key, so the rows of one key,
+    even of one instant, fill as many pieces as they need. Within a piece a running ``last`` finds the
+    version; the newest version of a key's earlier pieces comes from one row per (piece, key), carried forward over
+    the pieces. The partitioned rows are checkpointed in the shared folder, as the pieces must be the same in both steps. Null keys
+    and null times match nothing.
+    """
+    vt = version_tiebreak or version_ts
+    v = versions.where(F.col(key).isNotNull() & F.col(version_ts).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(version_ts).alias("_ts"), F.lit(0).alias("_side"), F.col(vt).alias("_tb"),
+        F.struct(*[F.col(c).alias(c) for c in version_cols]).alias("_v"))
+    f = facts.select(F.col(key).alias("_k"), F.col(fact_ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(None).cast(v.schema["_tb"].dataType).alias("_tb"),
+                     F.lit(None).cast(v.schema["_v"].dataType).alias("_v"), F.struct(*[F.col(c) for c in facts.columns]).alias("_f"))
+    rows = f.unionByName(v, allowMissingColumns=True).withColumn("_salt", F.rand(5))
+    placed = cut_lineage(rows.repartitionByRange("_k", "_ts", "_side", "_tb", "_salt").withColumn("_piece", F.spark_partition_id()).drop("_salt"))
+    running = Window.partitionBy("_piece", "_k").orderBy("_ts", "_side", "_tb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = placed.withColumn("_in", F.last("_v", ignorenulls=True).over(running)).where("_side = 1").select("_piece", "_k", "_f", "_in")
+    newest = placed.groupBy("_k", "_piece").agg(F.max_by("_v", F.when(F.col("_side") == 0, F.struct("_ts", "_tb"))).alias("_last"))
+    earlier = Window.partitionBy("_k").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)   # a row per piece
+    carry = newest.select("_k", "_piece", F.last("_last", ignorenulls=True).over(earlier).alias("_carry")).where(F.col("_carry").isNotNull())
+    out = seen.join(carry, ["_piece", "_k"], "left").withColumn("_m", F.coalesce("_in", "_carry"))
+    return out.select("_f.*", *[F.col("_m")[c].alias(c) for c in version_cols])
+
+
 def asof_join_simple(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str, version_ts: str,
                      version_cols: list[str]) -> DataFrame:
     """Reference form of the as-of join (one window per key); used by tests only."""
@@ -154,29 +182,28 @@ def reference_checks(refs: list[tuple[str, DataFrame, str, DataFrame, str]]) ->
     """Many REFERENCES checks in one pass: (relation, child rows, orphan child rows,
     childless parent keys) per relation.
 
-    refs: (relation, child, child_key, parent, parent_key). Every child table is read
-    once per relation it takes part in and all relations share one join on
-    (relation, key) instead of one join pipeline each. Integral keys are compared as
-    bigint, anything else as text.
+    refs: (relation, child, child_key, parent, parent_key). A table is read once for all relations in which it is
+    the child, and once for those in which it is the parent; its rows are counted per (relation, key) before
+    anything moves, so counts are joined, not rows. Integral keys are compared as bigint, anything else as text.
     """
     types = {df.schema[k].dataType.simpleString() for _, c, ck, p, pk in refs for df, k in ((c, ck), (p, pk))}
     key_type = "bigint" if types <= {"tinyint", "smallint", "int", "bigint"} else "string"
 
-    def tagged(df: DataFrame, rel: str, key: str) -> DataFrame:
-        return df.select(F.lit(rel).alias("relation"), F.col(key).cast(key_type).alias("_k"))
-
-    child = None
-    parent = None
-    for rel, c, ck, p, pk in refs:
-        child = tagged(c, rel, ck) if child is None else child.unionByName(tagged(c, rel, ck))
-        parent = tagged(p, rel, pk) if parent is None else parent.unionByName(tagged(p, rel, pk))
-    parent = parent.where(F.col("_k").isNotNull()).distinct()
-    marked = child.join(parent.withColumn("_has_parent", F.lit(True)), ["relation", "_k"], "left")
-    child_stats = marked.groupBy("relation").agg(
-        F.count(F.lit(1)).alias("child_rows"),
-        F.count_if(F.col("_has_parent").isNull() & F.col("_k").isNotNull()).alias("orphan_rows"))
-    childless = (parent.join(child.where(F.col("_k").isNotNull()).distinct(), ["relation", "_k"], "left_anti")
-                 .groupBy("relation").agg(F.count(F.lit(1)).alias("childless_parents")))
-    return child_stats.join(childless, "relation", "left").select(
-        "relation", "child_rows", "orphan_rows",
-        F.coalesce(F.col("childless_parents"), F.lit(0)).alias("childless_parents"))
+    def counted(side: list[tuple[str, DataFrame, str]], name: str) -> DataFrame:
+        tables: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
+        for rel, df, key in side:
+            tables.setdefault(id(df), (df, []))[1].append((rel, key))
+        keys = None
+        for df, relations in tables.values():
+            entries = F.array(*[F.struct(F.lit(rel).alias("relation"), F.col(key).cast(key_type).alias("_k")) for rel, key in relations])
+            part = df.select(F.explode(entries).alias("e")).select("e.*").groupBy("relation", "_k").agg(F.count(F.lit(1)).alias(name))
+            keys = part if keys is None else keys.unionByName(part)
+        return keys
+
+    child = counted([(rel, c, ck) for rel, c, ck, _, _ in refs], "_n")
+    parent = counted([(rel, p, pk) for rel, _, _, p, pk in refs], "_p").where(F.col("_k").isNotNull())
+    met = child.join(parent, ["relation", "_k"], "full")
+    return met.groupBy("relation").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("child_rows"),
+        F.coalesce(F.sum(F.when(F.col("_p").isNull() & F.col("_k").isNotNull(), F.col("_n"))), F.lit(0)).alias("orphan_rows"),
+        F.count_if(F.col("_n").isNull()).alias("childless_parents"))

@@ -272,3 +272,32 @@ def rarity_distribution_latest(spark, sf):
     per_card = A.distribution(ev, "event_type", count_name="cards", latest_per=(["user_id"], ["ts", "event_id"]))
     return per_event.join(per_card, "event_type", "left").select(
         "event_type", "events", F.coalesce("cards", F.lit(0)).alias("cards"))
+
+
+# Whole siblings of queries whose SQL blanks values or leaves rows out
+
+@register("latest_by_offset_whole", """
+SELECT user_id, arg_max(event_type, (ts, event_id)) FILTER (WHERE event_type IS NOT NULL) AS event_type,
+       arg_max(value, (ts, event_id)) FILTER (WHERE value IS NOT NULL) AS value,
+       arg_max(props, (ts, event_id)) FILTER (WHERE props IS NOT NULL) AS props, arg_max(event_id, (ts, event_id)) AS last_offset
+FROM events GROUP BY user_id
+""")
+def latest_by_offset_whole(spark, sf):
+    """Newest value per user and column over the events as they are."""
+    out = A.latest_by(_events(spark, sf), ["user_id"], ["ts", "event_id"], ["event_type", "value", "props"], last_order_name="_last")
+    return out.select("user_id", "event_type", "value", "props", F.col("_last.event_id").alias("last_offset"))
+
+
+@register("enriched_prices_asof_whole", """
+WITH v AS (SELECT user_id, ts, max(event_id) AS event_id FROM events GROUP BY user_id, ts)
+SELECT f.event_id, f.user_id, f.ts, f.value, e.event_id AS version_event_id, e.event_type AS version_type, e.value AS version_value
+FROM events f ASOF LEFT JOIN (SELECT user_id, ts + INTERVAL 1 MICROSECOND AS ts, event_id FROM v) v ON f.user_id = v.user_id AND f.ts >= v.ts
+LEFT JOIN events e ON e.event_id = v.event_id
+""")
+def enriched_prices_asof_whole(spark, sf):
+    """Every event sees the newest earlier event of its user, whatever their types: of one instant the last by id."""
+    ev = _events(spark, sf)
+    versions = ev.select("user_id", (F.col("ts") + F.expr("INTERVAL '0.000001' SECOND")).alias("known"), F.col("event_id").alias("version_event_id"),
+                         F.col("event_type").alias("version_type"), F.col("value").alias("version_value"))
+    return J.asof_join_pieces(ev.select("event_id", "user_id", "ts", "value"), versions, "user_id", "ts", "known",
+                              ["version_event_id", "version_type", "version_value"], version_tiebreak="version_event_id")

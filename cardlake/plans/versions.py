@@ -12,10 +12,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardlake import schemas
 from cardlake.operators import aggregates as A
 from cardlake.operators import versioned as V
 from cardlake.plans import register, table
-from cardlake.session import checkpoint_path
+from cardlake.session import checkpoint_path, spread
+from cardlake.sources import decks as D
+from cardlake.sources import envelopes as E
 
 BATCHES = 3
 BUCKETS = 8
@@ -124,3 +127,27 @@ def prices_at_arrival(spark, sf):
     facts = card_events(spark, sf).select(F.col("uuid").alias("card"), "turn", F.col("name").alias("event"), (F.col("batch") + 1).alias("met"))
     joined = V.join_at_arrival(facts, versions, "card", "uuid", "met")
     return joined.select(F.col("card").alias("uuid"), "turn", "event", "name", "rarity")
+
+
+@register("published_decks", """
+WITH l AS (SELECT '/decks/' || conv_id || '.deck' AS file_path, turn + 1 AS quantity, md5(coalesce(text, '')) AS name FROM conversations),
+d AS (SELECT file_path, md5(file_path) AS h, CAST(sum(quantity) AS BIGINT) AS total, count(*) AS lines,
+             string_agg('{"quantity":' || quantity || ',"name":"' || name || '"}', ',' ORDER BY name, quantity) AS cards FROM l GROUP BY file_path)
+SELECT 'eventType=deck.ingested;source=deck-ingester' AS headers, file_path,
+       '{"eventType":"deck.ingested","eventId":"' || h || '","timestamp":"2024-01-01T00:00:00.000000Z","source":"deck-ingester","version":"v1","data":{"id":"'
+       || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '","name":"' || regexp_extract(file_path, '([0-9]+)', 1) || '","file_path":"' || file_path
+       || '","total_cards":' || total || ',"unique_cards":' || lines || ',"ingested_at":"2024-01-01 00:00:00","cards":[' || cards || ']}}' AS value
+FROM d
+""")
+def published_decks(spark, sf):
+    """Deck events as published, with headers and the cards of the deck: a conversation is a deck file, each row a line of it."""
+    rows = spread(table(spark, sf, "conversations"))
+    lines = rows.select(F.concat(F.lit("/decks/"), F.col("conv_id").cast("string"), F.lit(".deck")).alias("file_path"),
+                        F.concat((F.col("turn") + 1).cast("string"), F.lit(" "), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("line"))
+    graded = D.parse_deck_lines(lines, keep_rejects=True)
+    decks = D.with_cards(D.summarise_decks(graded), graded).withColumn("ingested_at", F.lit("2024-01-01 00:00:00"))
+    events = E.build_envelope(decks, schemas.EVENT_DECK, schemas.SOURCE_DECKS, schemas.VERSION_DECKS,
+                              payload=["id", "name", "file_path", "total_cards", "unique_cards", "ingested_at", "cards"],
+                              event_id=F.md5("file_path"), timestamp=F.lit("2024-01-01 00:00:00").cast("timestamp"), headers=True, key=F.col("file_path"))
+    shown = F.array_join(F.transform("headers", lambda h: F.concat_ws("=", h["key"], h["value"].cast("string"))), ";")
+    return events.select(shown.alias("headers"), F.col("key").alias("file_path"), "value")

@@ -11,12 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.functions import columns as C
+from cardlake.sources.files import list_files
 
 DEFAULT_GLOB = "*{.deck,.deck.txt}"
 
 
-def read_deck_lines(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB) -> DataFrame:
-    """(file_path, line) for every line of every deck file directly under ``path``.
+DECK_NAMES = ("*.deck", "*.deck.txt")
+
+
+def read_deck_lines(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB, with_place: bool = False) -> DataFrame:
+    """(file_path, line) for every line of every deck file directly under ``path``; ``with_place`` adds
+    ``place``, which orders the lines of a file.
 
     Lines are split on '\\n' only (a '\\r' stays and is trimmed by the parser),
     as in the source tool. A file that cannot be read fails the job: skipping it would
@@ -25,7 +30,33 @@ def read_deck_lines(spark: SparkSession, path: str, glob: str = DEFAULT_GLOB) ->
     return (spark.read.option("lineSep", "\n")
             .option("pathGlobFilter", glob)
             .text(path)
-            .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line")))
+            .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"),
+                    *([F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place")]
+                      if with_place else [])))
+
+
+def empty_decks(spark: SparkSession, path: str, rule: str = "cli") -> DataFrame:
+    """Summaries (0 cards) of the deck files directly under ``path`` that have no byte, which no reader shows."""
+    files = list_files(spark, path, patterns=DECK_NAMES).where("length = 0")
+    none = F.lit(0).cast("bigint")
+    return files.select(C.stable_id("path").alias("id"), C.deck_name("path", rule).alias("name"), F.col("path").alias("file_path"),
+                        none.alias("total_cards"), none.alias("unique_cards"))
+
+
+def deck_lists(graded: DataFrame, path_col: str = "file_path") -> DataFrame:
+    """path_col and cards: the accepted lines of each file as an array of (quantity, name), in the order of ``place`` where
+    the lines have one, else of name and quantity. A deck's list is one value, as it is in the deck event."""
+    ok = graded.where(F.col("reject_reason").isNull()) if "reject_reason" in graded.columns else graded
+    place = F.col("place") if "place" in graded.columns else F.struct("card_name", "quantity")
+    per_file = ok.groupBy(path_col).agg(F.array_sort(F.collect_list(F.struct(place.alias("place"), "quantity", "card_name"))).alias("lines"))
+    return per_file.select(path_col, F.transform("lines", lambda x: F.struct(x["quantity"].alias("quantity"), x["card_name"].alias("name"))).alias("cards"))
+
+
+def with_cards(decks: DataFrame, graded: DataFrame) -> DataFrame:
+    """Deck summaries with their ``cards`` (an empty array for decks without an accepted line)."""
+    lists = deck_lists(graded)
+    return decks.join(lists, "file_path", "left").select(
+        *decks.columns, F.coalesce("cards", F.array().cast(lists.schema["cards"].dataType)).alias("cards"))
 
 
 def parse_deck_lines(lines: DataFrame, rule: str = "cli", line_col: str = "line",

@@ -40,8 +40,9 @@ def decode_envelope(df: DataFrame, payload: StructType, payload_key: str = "data
 def build_envelope(df: DataFrame, event_type: str, source: str, version: str,
                    payload: list[Column | str], payload_key: str = "data",
                    event_id: Column | None = None, timestamp: Column | None = None,
-                   key: Column | None = None, timestamp_as_millis: bool = False) -> DataFrame:
-    """Wrap rows in the publish envelope -> (key, value JSON).
+                   key: Column | None = None, timestamp_as_millis: bool = False, headers: bool = False) -> DataFrame:
+    """Wrap rows in the publish envelope -> (key, value JSON), with ``headers`` also the message headers
+    eventType and source, in the shape that the Kafka sink takes (option includeHeaders).
 
     event_id defaults to ``uuid()`` and timestamp to ``current_timestamp()``; pass
     deterministic columns for reproducible output (tests, replays).
@@ -58,4 +59,10 @@ def build_envelope(df: DataFrame, event_type: str, source: str, version: str,
         F.struct(*payload).alias(payload_key),
     )
     return df.select((key.cast("string") if key is not None else F.lit(None).cast("string")).alias("key"),
-                     F.to_json(body).alias("value"))
+                     F.to_json(body).alias("value"), *([event_headers(event_type, source)] if headers else []))
+
+
+def event_headers(event_type: str, source: str) -> Column:
+    """headers: an array of (key, value as bytes)."""
+    return F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).cast("binary").alias("value"))
+                     for k, v in (("eventType", event_type), ("source", source))]).alias("headers")
