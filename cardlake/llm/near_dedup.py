@@ -8,10 +8,12 @@ branch on. Copies of a set are one representative.
 
 What keeps groups of thousands linear: only documents of different components are compared,
 and components merge as early as possible. First each document is compared with a node's
-pivot and with its nearest neighbour by sketch, then with the nearest of another component,
-and only then with all others that are left. Candidates pass a one-bit sketch of the
-signature and are confirmed on full shingle sets. A node that is still wide at the last
-level is compared in blocks.
+pivot and with its nearest neighbour by sketch, then with the nearest of another component:
+each time one candidate of a document. What is left is compared whole inside the nodes: the
+full sets of a node's documents come to its task, which confirms pairs of different components
+and returns only the links that join two, so fewer than the node has documents. Candidates pass
+a one-bit sketch of the signature first. A node that is still wide at the last level, or whose
+sets are large, is compared in blocks.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ SMALL = 64           # documents of a node that is compared by a join
 LARGE = 2048         # of a block; a node of at most two blocks is compared whole, a wider one branches
 DEPTH = 4            # levels of branching; wider nodes are then compared block by block
 NEAREST_ROUNDS = 2
+SET_BYTES = 16 << 20  # of the full sets of a block; a node with more falls into more blocks
+AT_ONCE = 1 << 22    # shingles of the sets that one set is compared with at a time
 BITS_APART = 19      # of 64 sketch bits; a pair of similarity 0.75 differs in more with p < 0.0002
 BYTES = 256          # of the byte sketch that large nodes use
 BYTES_SAME = 171     # of them; a pair of similarity 0.75 agrees in fewer with p < 0.002
@@ -173,7 +177,7 @@ def _open_nodes(rows: DataFrame) -> DataFrame:
     """The rows of nodes with documents of more than one component, with the node's count and
     pivot (the smallest id; ids are random numbers). The nodes are counted first: most have one
     document, and their rows need not be shuffled whole."""
-    nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("pivot"),
+    nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"), F.min("id").alias("pivot"),
                                      F.min("label").alias("low"), F.max("label").alias("high"))
     nodes = materialise(nodes.where("low != high").drop("low", "high"), "near-nodes")
     return may_match(rows, "node", nodes.select("node")).join(nodes, "node")
@@ -195,68 +199,139 @@ def _small_pairs(rows: DataFrame) -> DataFrame:
         F.col("id").alias("u"), F.col("id2").alias("v"), (4 * F.expr("bit_count(bits ^ bits2)")).alias("apart"))
 
 
-def _large_pairs(rows: DataFrame, ids: DataFrame, reps: DataFrame, nearest: bool) -> DataFrame:
-    """The same in larger nodes, one node (or pair of blocks) of at most 2 * ``LARGE`` documents in a task
-    at a time, compared in strips; the byte sketch sharpens the choice. With ``nearest`` only the
-    nearest one of each document, else a pair in the first of the nodes that it shares."""
+def _near(bits: np.ndarray, n: np.ndarray, x: slice) -> np.ndarray:
+    """Of the rows ``x`` with all rows: sizes allow the similarity, and the bit sketches are near."""
+    least, most = np.minimum(n[x, None], n[None, :]), np.maximum(n[x, None], n[None, :])
+    return (np.bitwise_count(bits[x, None] ^ bits[None, :]) <= BITS_APART) & (100 * least >= SIMILARITY * most)
+
+
+def _sketches(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(table), BYTES)
+
+
+def _same_bytes(sketch: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, int), *[
+        (sketch[u[k:k + 65536]] == sketch[v[k:k + 65536]]).sum(axis=1) for k in range(0, len(u), 65536)]])
+
+
+def _nearest_pairs(rows: DataFrame, ids: DataFrame, reps: DataFrame) -> DataFrame:
+    """The nearest one of each document in larger nodes, one node (or pair of blocks) of at most
+    2 * ``LARGE`` documents in a task at a time, compared in strips; the byte sketch sharpens the choice."""
     def run(table: pa.Table) -> pa.Table:
-        names = ("id", "n", "bits", "label", "side", "slot", "slots")
-        ids, n, bits, label, side, slot, slots = (table.column(c).to_numpy() for c in names)
-        size, bits, out = len(ids), bits.view(np.uint64), []
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(size, BYTES)
-        tokens = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(size, POSITIONS)
+        ids, n, bits, label, side = (table.column(c).to_numpy() for c in ("id", "n", "bits", "label", "side"))
+        bits, sketch, out = bits.view(np.uint64), _sketches(table), []
         blocks = (side != side[0]).any()
-        earlier = [(1 << k, p) for k, (_, p) in enumerate(_SLOTS) if k < slot[0]]
-        for a in range(0, size, 64):
+        for a in range(0, len(ids), 64):
             x = slice(a, a + 64)
-            least, most = np.minimum(n[x, None], n[None, :]), np.maximum(n[x, None], n[None, :])
-            near = (np.bitwise_count(bits[x, None] ^ bits[None, :]) <= BITS_APART) & (100 * least >= SIMILARITY * most)
-            near &= (label[x, None] != label[None, :]) & (nearest | (ids[x, None] > ids[None, :]))
+            near = _near(bits, n, x) & (label[x, None] != label[None, :])
             if blocks:
                 near &= side[x, None] != side[None, :]   # two blocks: only between them
             u, v = np.nonzero(near)
-            same = np.concatenate([np.zeros(0, int), *[
-                (sketch[a + u[k:k + 65536]] == sketch[v[k:k + 65536]]).sum(axis=1) for k in range(0, len(u), 65536)]])
+            same = _same_bytes(sketch, a + u, v)
             keep = same >= BYTES_SAME
             u, v, same = a + u[keep], v[keep], same[keep]
-            if nearest:
-                order = np.lexsort((ids[v], -same, u))
-                first = np.concatenate([[True], np.diff(u[order]) > 0])[:len(u)]
-                u, v, same = u[order][first], v[order][first], same[order][first]
-            else:
-                for bit, position in earlier:
-                    other = (slots[u] & slots[v] & bit != 0) & (tokens[u, position] == tokens[v, position])
-                    u, v, same = u[~other], v[~other], same[~other]
+            order = np.lexsort((ids[v], -same, u))
+            first = np.concatenate([[True], np.diff(u[order]) > 0])[:len(u)]
+            u, v, same = u[order][first], v[order][first], same[order][first]
             out.append((ids[u], ids[v], (BYTES - same).astype(np.int32)))
         u, v, apart = (np.concatenate([o[k] for o in out]) for k in range(3))
         return pa.table({"u": u, "v": v, "apart": apart})
 
-    rows = rows.join(may_match(reps.select("id", "sig", "sketch"), "id", ids), "id")
+    rows = rows.join(may_match(reps.select("id", "sketch"), "id", ids), "id")
     return rows.groupBy("node", "low", "high").applyInArrow(run, "u long, v long, apart int")
 
 
-def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Large nodes as groups (node, low, high): up to ``LARGE`` documents one group, beyond that the
-    documents fall into blocks by a hash, and each pair of blocks is a group."""
-    rows = rows.withColumn("blocks", F.expr(f"(docs - 1) div {LARGE} + 1")).withColumn("side", F.expr("pmod(xxhash64(id), blocks)"))
+def _in_blocks(rows: DataFrame, sets: bool = False) -> DataFrame:
+    """Large nodes as groups (node, low, high): up to ``LARGE`` documents (and with ``sets`` up to
+    ``SET_BYTES`` of full sets) one group, beyond that the documents fall into blocks by a hash, and
+    each pair of blocks is a group."""
+    blocks = f"(docs - 1) div {LARGE} + 1"
+    if sets:
+        blocks = f"greatest({blocks}, least(docs, (8 * shingles - 1) div {SET_BYTES} + 1))"
+    rows = rows.withColumn("blocks", F.expr(blocks)).withColumn("side", F.expr("pmod(xxhash64(id), blocks)"))
     copies = rows.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
     return copies.withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
 
 
-def _candidates(level: DataFrame, reps: DataFrame, nearest: bool, branched: bool) -> DataFrame:
-    """u, v of open nodes: all pairs of different components whose sketches are near, or with
-    ``nearest`` for each document the nearest one."""
-    large = level.where(F.col("docs") > SMALL).withColumn("slots", F.lit(-1).cast("long"))
+def _nearest(level: DataFrame, reps: DataFrame) -> DataFrame:
+    """u, v of open nodes: for each document the nearest one of another component by sketch."""
+    large = level.where(F.col("docs") > SMALL)
+    pairs = _small_pairs(level.where(F.col("docs") <= SMALL)).unionByName(_nearest_pairs(_in_blocks(large), large.select("id"), reps))
+    ends = F.explode(F.array(F.struct(F.col("u").alias("of"), F.col("v").alias("to")),
+                             F.struct(F.col("v").alias("of"), F.col("u").alias("to")))).alias("end")
+    return (pairs.select(ends, "apart").groupBy("end.of").agg(F.min(F.struct("apart", "end.to")).alias("best"))
+            .select(F.col("of").alias("u"), F.col("best.to").alias("v")))
+
+
+def _join_sets(table: pa.Table) -> pa.Table:
+    """u, v: links of one node (or pair of blocks) that join two components, confirmed on full sets.
+
+    Every pair of different components whose sketches are near is looked at, unless links found
+    before have joined the two; so the links are a forest, however many pairs there are. In a
+    large node a pair is left to the first of the large nodes of the first level that share it.
+    """
+    names = ("id", "n", "bits", "label", "side", "slot", "slots")
+    ids, n, bits, label, side, slot, slots = (table.column(c).to_numpy() for c in names)
+    size, bits, links = len(ids), bits.view(np.uint64), []
+    codes = np.unique(np.frombuffer(b"".join(table.column("set").to_pylist()), "<u8"), return_inverse=True)[1].astype(np.int32)
+    ends = np.cumsum(n)
+    sets = [codes[e - k:e] for e, k in zip(ends.tolist(), n.tolist())]
+    held = np.zeros(int(codes.max()) + 1, bool)
+    part = np.unique(label, return_inverse=True)[1]
+    blocks, large = (side != side[0]).any(), size > SMALL
+    if large:
+        sketch, tokens = _sketches(table), np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(size, POSITIONS)
+        earlier = [(1 << k, p) for k, (_, p) in enumerate(_SLOTS) if k < slot[0]]
+    for a in range(0, size, 64):
+        x = slice(a, a + 64)
+        near = _near(bits, n, x) & (part[x, None] != part[None, :]) & (ids[x, None] > ids[None, :])
+        if blocks:
+            near &= side[x, None] != side[None, :]
+        u, v = np.nonzero(near)
+        u = a + u
+        if large:
+            keep = _same_bytes(sketch, u, v) >= BYTES_SAME
+            u, v = u[keep], v[keep]
+            for bit, position in earlier:
+                other = (slots[u] & slots[v] & bit != 0) & (tokens[u, position] == tokens[v, position])
+                u, v = u[~other], v[~other]
+        for one in np.unique(u):
+            others = v[u == one]
+            others = others[part[others] != part[one]]
+            cuts = np.flatnonzero(np.diff(np.cumsum(n[others]) // AT_ONCE)) + 1
+            held[sets[one]] = True
+            for some in np.split(others, cuts):
+                if not len(some):
+                    continue
+                starts = np.cumsum(n[some]) - n[some]
+                both = np.add.reduceat(held[np.concatenate([sets[k] for k in some])], starts, dtype=np.int64)
+                for k in some[100 * both >= SIMILARITY * (n[one] + n[some] - both)]:
+                    if part[k] != part[one]:
+                        links.append((ids[one], ids[k]))
+                        part[part == part[k]] = part[one]
+            held[sets[one]] = False
+    u, v = np.array(links, np.int64).reshape(-1, 2).T
+    return pa.table({"u": u, "v": v})
+
+
+def _links_in_nodes(level: DataFrame, reps: DataFrame, texts: DataFrame, branched: bool) -> DataFrame:
+    """u, v: confirmed links between components, of all open nodes; at most one per document and group."""
+    level = level.withColumn("slots", F.lit(-1).cast("long"))
     if branched:  # then only the slots at which a document's node is compared whole
         slots = level.groupBy("id").agg(F.expr("bit_or(if(slot < 0, 0L, shiftleft(1L, slot)))").alias("slots"))
-        large = large.drop("slots").join(slots, "id")
-    pairs = _small_pairs(level.where(F.col("docs") <= SMALL)).unionByName(_large_pairs(_in_blocks(large), large.select("id"), reps, nearest))
-    if nearest:
-        ends = F.explode(F.array(F.struct(F.col("u").alias("of"), F.col("v").alias("to")),
-                                 F.struct(F.col("v").alias("of"), F.col("u").alias("to")))).alias("end")
-        pairs = (pairs.select(ends, "apart").groupBy("end.of").agg(F.min(F.struct("apart", "end.to")).alias("best"))
-                 .select(F.col("of").alias("u"), F.col("best.to").alias("v")))
-    return pairs.select("u", "v")
+        level = level.drop("slots").join(slots, "id")
+    if level.isEmpty():
+        return level.select(F.col("id").alias("u"), F.col("id").alias("v"))
+
+    def to_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(words).tobytes() for _, words in corpus_hashes(batch.column("bytes").to_pylist(), lower=True)]
+        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "set"])
+
+    ids = level.select("id").distinct()
+    sets = map_batches(may_match(texts, "id", ids).join(ids, "id", "left_semi").dropDuplicates(["id"]), to_sets, "id long, set binary")
+    sets = materialise(sets.join(may_match(reps.select("id", "sig", "sketch"), "id", ids), "id"), "near-sets")
+    rows = _in_blocks(level, sets=True).select("node", "low", "high", "id", "n", "bits", "label", "side", "slot", "slots")
+    return rows.join(sets, "id").groupBy("node", "low", "high").applyInArrow(_join_sets, "u long, v long")
 
 
 def _fetch_texts(docs: DataFrame, reps: DataFrame, ids: DataFrame, text_col: str, key_col: str) -> DataFrame:
@@ -367,39 +442,38 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     level = reduce(DataFrame.unionByName, waiting)
 
     # every document with a candidate has a nearest one: their texts are all that confirming needs
-    first = materialise(_candidates(level, reps, True, branched), "near-first")
+    first = materialise(_nearest(level, reps), "near-first")
     ids = first.select("u").distinct().withColumnRenamed("u", "id")
     texts = _fetch_texts(docs, reps, ids, text_col, key_col)
     stars = _stars(level).join(ids, F.col("u") == F.col("id"), "left_semi").join(ids, F.col("v") == F.col("id"), "left_semi")
     labels: DataFrame | None = None
-    edges: list[DataFrame] = []
     tried: list[DataFrame] = []
 
-    def merge(pairs: DataFrame) -> bool:
-        """Confirm new candidates on full sets and merge the components of those that hold."""
+    def link(found: DataFrame) -> bool:
+        """Merge the components that the confirmed links join."""
         nonlocal labels
-        pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        for done in tried:
-            pairs = pairs.join(done, ["u", "v"], "left_anti")
-        pairs = materialise(pairs, "near-pairs")
-        if pairs.isEmpty():
-            return False
-        tried.append(pairs)
-        found = materialise(_confirm(pairs, texts), "near-edges")
+        found = materialise(found, "near-edges")
         if found.isEmpty():
             return False
-        edges.append(found)
-        labels = components(reduce(DataFrame.unionByName, edges))
+        if labels is not None:  # a star of each component stands for its links
+            found = found.unionByName(labels.select(F.col("id").alias("u"), F.col("label").alias("v")))
+        labels = components(found)
         return True
 
     pairs = first.unionByName(stars)
     level = level.join(ids, "id", "left_semi")   # a document without a candidate has none later
-    for _ in range(NEAREST_ROUNDS):
-        if not merge(pairs):
+    for again in range(NEAREST_ROUNDS):
+        pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        for done in tried:
+            pairs = pairs.join(done, ["u", "v"], "left_anti")
+        pairs = materialise(pairs, "near-pairs")
+        tried.append(pairs)
+        if not link(_confirm(pairs, texts)):
             break
         level = materialise(_open_nodes(_labelled(level.select(*_ROWS), labels)), "near-level")
-        pairs = _candidates(level, reps, True, branched)
-    merge(_candidates(level, reps, False, branched))
+        if again + 1 < NEAREST_ROUNDS:
+            pairs = _nearest(level, reps)
+    link(_links_in_nodes(level, reps, texts, branched))
 
     classed = _labelled(reps.select("id", "digest", "head"), labels)
     first = classed.groupBy("label").agg(F.min("head").alias("first"))
