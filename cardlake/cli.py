@@ -1,7 +1,7 @@
 """Command line: deck directory ingest (or dry run), catalogue ingest, ad-hoc SQL.
 
   python -m cardlake.cli decks DIR [--rule cli|library] [--dry-run] [--out EVENTS_DIR]
-  python -m cardlake.cli catalog EVENTS_DIR [--sets LANDED] [--atomic LANDED] [--prices LANDED]
+  python -m cardlake.cli catalog EVENTS_DIR [--sets LANDED] [--atomic LANDED] [--prices LANDED] [--dumps]
   python -m cardlake.cli sql TABLES_DIR "SELECT ..." (--out DIR | --show N)
 """
 
@@ -19,6 +19,7 @@ from cardlake.functions import columns as C
 from cardlake.session import build_session
 from cardlake.sources import catalog as CAT
 from cardlake.sources import decks as D
+from cardlake.sources import dumps as DUMPS
 from cardlake.sources import envelopes as E
 from cardlake.sources.tables import observe_rejects
 
@@ -53,34 +54,36 @@ def ingest_decks(spark, directory: str, rule: str = "cli", out: str | None = Non
 
 
 def ingest_catalog(spark, out: str, sets_path: str | None = None, atomic_path: str | None = None,
-                   prices_path: str | None = None) -> None:
-    """Landed catalogue dumps (one ``{"key", "doc"}`` JSON object per line) -> event
+                   prices_path: str | None = None, dumps: bool = False) -> None:
+    """Landed catalogue dumps (with ``dumps`` folders of whole ones as published, {meta, data}; else one ``{"key", "doc"}`` JSON object per line) -> event
     folders standing in for topics: sets (cards stripped, key = set code), cards (one
     per card of every set and per atomic card, key = uuid) and prices (one per price
     leaf, key = price-<uuid>-<date>). All events of one ingest share one stamp. Documents that
     give no event go to the folder rejects (input, key, reason, length, stamp)."""
     stamp = F.lit(datetime.now(timezone.utc)).cast("timestamp")
+    landed = DUMPS.read_documents if dumps else CAT.read_landed
     for kind, path in (("sets", sets_path), ("atomic", atomic_path), ("prices", prices_path)):
         if path:
-            CAT.document_rejects(CAT.read_landed(spark, path), kind=kind).select(
+            rejects = DUMPS.price_dump_rejects(spark, path) if dumps and kind == "prices" else CAT.document_rejects(landed(spark, path), kind=kind)
+            rejects.select(
                 F.lit(kind).alias("input"), "key", "reason", "length", stamp.alias("ingested_at")) \
                 .write.mode("append").json(os.path.join(out, "rejects"))
     card_events = []
     if sets_path:
-        sets, cards = CAT.flatten_sets(CAT.read_landed(spark, sets_path), processed_at=stamp)
+        sets, cards = CAT.flatten_sets(landed(spark, sets_path), processed_at=stamp)
         E.build_envelope(sets, schemas.EVENT_SET, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE,
                          payload=sets.columns, payload_key="set", timestamp=stamp, key=F.col("code"), headers=True) \
             .write.mode("append").json(os.path.join(out, "sets"))
         card_events.append(cards.drop("set_code"))
     if atomic_path:
-        card_events.append(CAT.first_variant(CAT.read_landed(spark, atomic_path))
+        card_events.append(CAT.first_variant(landed(spark, atomic_path))
                            .withColumn("processedAt", stamp.cast("string")))
     for cards in card_events:
         E.build_envelope(cards, schemas.EVENT_CARD, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE,
                          payload=cards.columns, payload_key="card", timestamp=stamp, key=F.col("uuid"), headers=True) \
             .write.mode("append").json(os.path.join(out, "cards"))
     if prices_path:
-        rows = CAT.flatten_price_tree(CAT.read_landed(spark, prices_path))
+        rows = DUMPS.read_price_dump(spark, prices_path) if dumps else CAT.flatten_price_tree(CAT.read_landed(spark, prices_path))
         key = C.price_event_key("card_uuid", F.to_date("date"))
         E.build_envelope(rows, schemas.EVENT_PRICE, schemas.SOURCE_CATALOGUE, schemas.VERSION_CATALOGUE,
                          payload=["card_uuid", "format", "source", "type", "foil", "date", "price"],
@@ -109,6 +112,7 @@ def main(argv=None) -> None:
     c.add_argument("--sets")
     c.add_argument("--atomic")
     c.add_argument("--prices")
+    c.add_argument("--dumps", action="store_true", help="the inputs are folders of whole dumps, {meta, data}")
     q = sub.add_parser("sql")
     q.add_argument("tables_dir")
     q.add_argument("text")
@@ -120,7 +124,7 @@ def main(argv=None) -> None:
     if a.cmd == "decks":
         print(json.dumps({"line_counts": ingest_decks(spark, a.directory, a.rule, a.out, a.dry_run, empty_files=True)}))
     elif a.cmd == "catalog":
-        ingest_catalog(spark, a.out, a.sets, a.atomic, a.prices)
+        ingest_catalog(spark, a.out, a.sets, a.atomic, a.prices, a.dumps)
     else:
         result = run_sql(spark, a.tables_dir, a.text)
         result.write.json(a.out) if a.out else result.show(a.show, truncate=False)
