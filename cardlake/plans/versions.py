@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cardlake import schemas
 from cardlake.operators import aggregates as A
+from cardlake.operators import derived as DV
 from cardlake.operators import versioned as V
 from cardlake.plans import register, table
 from cardlake.session import checkpoint_path, spread
@@ -151,3 +152,38 @@ def published_decks(spark, sf):
                               event_id=F.md5("file_path"), timestamp=F.lit("2024-01-01 00:00:00").cast("timestamp"), headers=True, key=F.col("file_path"))
     shown = F.array_join(F.transform("headers", lambda h: F.concat_ws("=", h["key"], h["value"].cast("string"))), ";")
     return events.select(shown.alias("headers"), F.col("key").alias("file_path"), "value")
+
+
+SQL_NEWEST = f"""
+SELECT uuid, arg_max(rarity, (turn, rarity, name)) AS rarity, arg_max(size, (turn, rarity, name)) AS size FROM ({SQL_EVENTS}) e GROUP BY uuid
+"""
+
+
+@register("totals_by_buckets", f"""
+SELECT rarity, COUNT(*) AS n, CAST(SUM(CAST(size AS DECIMAL(18,2))) AS DOUBLE) AS total,
+       CAST(SUM(CAST(size AS DECIMAL(18,2))) AS DOUBLE) / COUNT(size) AS average, MIN(size) AS least, MAX(size) AS largest
+FROM ({SQL_NEWEST}) c GROUP BY rarity
+""")
+def totals_by_buckets(spark, sf):
+    """Totals per rarity of the card table, brought up to date after each batch by the buckets that it touched."""
+    return DV.merge_totals(_followed(spark, sf, "totals", ["bucket", "rarity"], lambda cards, totals: DV.follow_totals(cards, totals, "size", {"rarity": F.col("rarity")})), ["rarity"])
+
+
+@register("ranking_by_buckets", f"""
+SELECT uuid, size, rarity, row_number() OVER (ORDER BY size DESC, uuid) AS rank, '#' || row_number() OVER (ORDER BY size DESC, uuid) AS label
+FROM ({SQL_NEWEST}) c WHERE size IS NOT NULL ORDER BY size DESC, uuid LIMIT 25
+""")
+def ranking_by_buckets(spark, sf, k: int = 25):
+    """The k cards of largest size, from the leaders of each bucket kept after each batch."""
+    leaders = _followed(spark, sf, "leaders", ["bucket", "place"], lambda cards, kept: DV.follow_ranking(cards, kept, "size", k, show=["rarity"]))
+    return DV.ranking(leaders, ["uuid"], "size", k)
+
+
+def _followed(spark: SparkSession, sf: str, name: str, keys: list[str], follow) -> DataFrame:
+    events = card_events(spark, sf)
+    cards = V.VersionedTable(spark, _fresh(spark, "cards"), ["uuid"], BUCKETS)
+    derived = V.VersionedTable(spark, _fresh(spark, name), keys, BUCKETS)
+    for batch in range(BATCHES):
+        cards.upsert(events.where(F.col("batch") == batch), ORDER, VALUES, "seen", writer="cards", batch_id=batch)
+        follow(cards, derived)
+    return derived.read()
