@@ -8,6 +8,7 @@ Spark runs again after a failure replaces or finds its own output:
 * card tables: the card table takes the batch by an atomic commit with its change log, and the counts per rarity,
   type and colours follow the log: -1 for the group a card leaves, +1 for the one it comes to;
 * price tables: the batch is joined with the card table's version that it met when it first ran;
+* deck values: the newest value per deck, and by the buckets that a batch touches the portfolio's statistics and leading decks;
 * running tables: an update-mode aggregate's changed rows, ordered by batch id, with EMIT CHANGES as log.
 """
 
@@ -26,6 +27,7 @@ from cardlake import schemas
 from cardlake.functions import columns as C
 from cardlake.operators import joins as J
 from cardlake.operators import sinks as S
+from cardlake.operators import derived as DV
 from cardlake.operators import versioned as V
 from cardlake.session import checkpoint_path
 from cardlake.sources import envelopes as E
@@ -143,6 +145,87 @@ def versions_met(spark, out_dir: str, last: int = 100) -> set[int]:
     return {json.loads(pins.text(f"{b}.json")) for b in batches[-last:]} - {0}
 
 
+# ---------------------------------------------------------------- deck values
+
+DECK_VALUES = ["deck_name", "total_cards", "total_value", "calculated_at"]
+DECK_BUCKETS = 64
+
+
+def deck_table(spark, out_dir: str, n_buckets: int = DECK_BUCKETS) -> V.VersionedTable:
+    return V.VersionedTable(spark, os.path.join(out_dir, "deck-table"), ["deck_id"], n_buckets)
+
+
+def deck_totals(spark, out_dir: str) -> V.VersionedTable:
+    return V.VersionedTable(spark, os.path.join(out_dir, "deck-totals"), ["bucket", "format"], 1)
+
+
+def deck_leaders(spark, out_dir: str) -> V.VersionedTable:
+    return V.VersionedTable(spark, os.path.join(out_dir, "deck-leaders"), ["bucket", "place"], 1)
+
+
+def take_deck_values(out_dir: str, k: int = 10, n_buckets: int = DECK_BUCKETS) -> Callable:
+    """Takes decoded deck values: the newest value of each deck, then the totals per format and the k leading decks follow
+    by the buckets that the batch touched. A failure between the commits is caught up by the next batch or a replay."""
+    def accept(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        decks = deck_table(spark, out_dir, n_buckets)
+        values = rows.select("event_ts", F.col("eventId").alias("event_id"), "data.*")
+        decks.upsert(values, ["calculated_at", "event_ts", "event_id"], DECK_VALUES, "event_ts", writer="deck-values", batch_id=batch_id)
+        if decks.manifest().schema:
+            DV.follow_totals(decks, deck_totals(spark, out_dir), "total_value", {"format": C.deck_bucket("total_cards")})
+            DV.follow_ranking(decks, deck_leaders(spark, out_dir), "total_value", k, show=["deck_name"])
+    return accept
+
+
+def start_portfolio_tables(messages: DataFrame, out_dir: str, trigger: dict | None = None, checkpoint_root: str | None = None,
+                           k: int = 10, n_buckets: int = DECK_BUCKETS) -> StreamingQuery:
+    """Deck value events -> newest value per deck, portfolio statistics, statistics per format and the leading decks."""
+    body = decoded_batch(out_dir, "deck-values", schemas.DECK_VALUE, "data", take_deck_values(out_dir, k, n_buckets))
+    return SJ.run_stream(messages, "portfolio_tables", sink=body, trigger=trigger, checkpoint=_checkpoint(messages, checkpoint_root, "portfolio_tables"))
+
+
+def portfolio(spark, out_dir: str) -> DataFrame:
+    """The statistics of ``aggregates.portfolio_stats``, from the partial totals."""
+    return DV.merge_totals(deck_totals(spark, out_dir).read()).select(
+        F.col("n").alias("total_decks"), F.col("total").alias("combined_value"), F.col("average").alias("average_deck_value"),
+        F.col("largest").alias("most_expensive_deck"), F.col("least").alias("cheapest_deck"))
+
+
+def formats(spark, out_dir: str) -> DataFrame:
+    """The statistics of ``aggregates.bucket_stats``, from the partial totals."""
+    return DV.merge_totals(deck_totals(spark, out_dir).read(), ["format"]).select(
+        "format", F.col("n").alias("deck_count"), F.col("average").alias("avg_value"))
+
+
+def leading_decks(spark, out_dir: str, k: int = 10) -> DataFrame:
+    """The k most valuable decks with rank and label; k as the flow keeps them, or fewer."""
+    return DV.ranking(deck_leaders(spark, out_dir).read(), ["deck_id"], "total_value", k)
+
+
+# ---------------------------------------------------------------- sent again, met within an hour
+
+def start_distinct_facts(messages: DataFrame, out_dir: str, keys: list[str], payload: StructType = schemas.PRICE_ROW, payload_key: str = "data",
+                         watermark: str = "1 day", trigger: dict | None = None, checkpoint_root: str | None = None) -> StreamingQuery:
+    """Facts without copies that were sent again (same business keys, whatever event id) within the watermark, as Parquet
+    in ``distinct-facts``. Messages that do not decode are not facts: ``decoded_batch`` of the flow that uses them counts them."""
+    d = E.decode_envelope(messages, payload, payload_key=payload_key).where(F.col("_error").isNull() & F.col("event_ts").isNotNull())
+    facts = SJ.dedupe_replays(d.select("event_ts", f"{payload_key}.*"), keys, "event_ts", watermark)
+    return SJ.run_stream(facts, "distinct_facts", sink="parquet", path=os.path.join(out_dir, "distinct-facts"), trigger=trigger,
+                         checkpoint=_checkpoint(messages, checkpoint_root, "distinct_facts"))
+
+
+def start_enriched_decks(deck_messages: DataFrame, value_messages: DataFrame, out_dir: str, within: str = "1 hour", watermark: str = "1 hour",
+                         trigger: dict | None = None, checkpoint_root: str | None = None) -> StreamingQuery:
+    """Decks and their values within an hour of each other's event time (a stream-stream join), as Parquet in ``enriched-decks``."""
+    d = E.decode_envelope(deck_messages, schemas.DECK).where(F.col("_error").isNull())
+    v = E.decode_envelope(value_messages, schemas.DECK_VALUE).where(F.col("_error").isNull())
+    decks = d.select(F.col("event_ts").alias("d_ts"), "data.id", "data.name", "data.unique_cards", "data.total_cards", "data.file_path")
+    values = v.select(F.col("event_ts").alias("v_ts"), "data.deck_id", "data.total_value")
+    joined = SJ.enriched_decks_stream(decks, values, within, watermark)
+    return SJ.run_stream(joined, "enriched_decks", sink="parquet", path=os.path.join(out_dir, "enriched-decks"), trigger=trigger,
+                         checkpoint=_checkpoint(deck_messages, checkpoint_root, "enriched_decks"))
+
+
 # ---------------------------------------------------------------- running aggregates
 
 def running_table(table_path: str, keys: list[str], n_buckets: int = 16) -> Callable:
