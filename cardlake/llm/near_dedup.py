@@ -176,10 +176,14 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 def _open_nodes(rows: DataFrame) -> DataFrame:
     """The rows of nodes with documents of more than one component, with the node's count and
     pivot (the smallest id; ids are random numbers). The nodes are counted first: most have one
-    document, and their rows need not be shuffled whole."""
+    document, and their rows need not be shuffled whole. Near copies share most of their nodes: of
+    nodes of the same documents that are compared whole one stays, as the others compare the same pairs."""
     nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"), F.min("id").alias("pivot"),
-                                     F.min("label").alias("low"), F.max("label").alias("high"))
-    nodes = materialise(nodes.where("low != high").drop("low", "high"), "near-nodes")
+                                     F.min("label").alias("low"), F.max("label").alias("high"),
+                                     F.bit_xor("id").alias("ids"), F.bit_xor(F.xxhash64("id")).alias("marks"))
+    nodes = nodes.where("low != high").drop("low", "high")
+    same = nodes.groupBy("docs", "shingles", "pivot", "ids", "marks", F.expr(f"if(docs > {2 * LARGE}, node, null)").alias("wide")).agg(F.min("node").alias("node"))
+    nodes = materialise(same.select("node", "docs", "shingles", "pivot"), "near-nodes")
     return may_match(rows, "node", nodes.select("node")).join(nodes, "node")
 
 
@@ -314,14 +318,13 @@ def _join_sets(table: pa.Table) -> pa.Table:
     return pa.table({"u": u, "v": v})
 
 
-def _links_in_nodes(level: DataFrame, reps: DataFrame, texts: DataFrame, branched: bool) -> DataFrame:
+def _links_in_nodes(level: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     """u, v: confirmed links between components, of all open nodes; at most one per document and group."""
-    level = level.withColumn("slots", F.lit(-1).cast("long"))
-    if branched:  # then only the slots at which a document's node is compared whole
-        slots = level.groupBy("id").agg(F.expr("bit_or(if(slot < 0, 0L, shiftleft(1L, slot)))").alias("slots"))
-        level = level.drop("slots").join(slots, "id")
     if level.isEmpty():
         return level.select(F.col("id").alias("u"), F.col("id").alias("v"))
+    # only the slots at which a document's node is compared whole
+    slots = level.groupBy("id").agg(F.expr("bit_or(if(slot < 0, 0L, shiftleft(1L, slot)))").alias("slots"))
+    level = level.join(slots, "id")
 
     def to_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(words).tobytes() for _, words in corpus_hashes(batch.column("bytes").to_pylist(), lower=True)]
@@ -431,14 +434,14 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
         StructField("sketch", BinaryType())])), "near-classes")
 
     # nodes to compare: those of the first level, but of too wide ones the children
-    level, waiting, branched = materialise(_open_nodes(_labelled(_first_level(reps), None)), "near-level"), [], False
+    level, waiting = materialise(_open_nodes(_labelled(_first_level(reps), None)), "near-level"), []
     for depth in range(1, DEPTH + 1):
         wide = level.where(F.col("docs") > 2 * LARGE)
         if depth == DEPTH or wide.isEmpty():
             waiting.append(level)
             break
         waiting.append(level.where(F.col("docs") <= 2 * LARGE))
-        level, branched = materialise(_open_nodes(_labelled(_next_level(wide, reps), None)), "near-level"), True
+        level = materialise(_open_nodes(_labelled(_next_level(wide, reps), None)), "near-level")
     level = reduce(DataFrame.unionByName, waiting)
 
     # every document with a candidate has a nearest one: their texts are all that confirming needs
@@ -473,7 +476,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
         level = materialise(_open_nodes(_labelled(level.select(*_ROWS), labels)), "near-level")
         if again + 1 < NEAREST_ROUNDS:
             pairs = _nearest(level, reps)
-    link(_links_in_nodes(level, reps, texts, branched))
+    link(_links_in_nodes(level, reps, texts))
 
     classed = _labelled(reps.select("id", "digest", "head"), labels)
     first = classed.groupBy("label").agg(F.min("head").alias("first"))

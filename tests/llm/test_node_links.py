@@ -85,3 +85,26 @@ def test_dense_group_in_blocks_of_few_bytes(spark, monkeypatch):
         rows.append((i, " ".join(changed), "s"))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_duplicates(table(spark, rows)).collect()}
     assert got == brute_components(rows)
+
+
+def test_nodes_of_the_same_documents_are_compared_once(spark, monkeypatch):
+    monkeypatch.setattr(N, "LARGE", 2)
+    nodes = {1: (5, 9), 2: (5, 9), 3: (5, 9, 11), 4: (5, 11), 6: (9, 11, 5), 7: (7,), 20: (1, 2, 3, 4, 5), 21: (1, 2, 3, 4, 5)}
+    rows = spark.createDataFrame([(k, k % 13, i, 100 + i, i) for k, ids in nodes.items() for i in ids], "node long, slot int, id long, n long, bits long")
+    got = sorted((r.node, r.id, r.docs) for r in N._open_nodes(N._labelled(rows, None)).collect())
+    assert got == sorted((k, i, len(nodes[k])) for k in (1, 3, 4, 20, 21) for i in nodes[k])   # wide ones branch apart
+
+
+def test_dense_group_in_large_nodes_that_do_not_branch(spark, monkeypatch):
+    """Pairs are left to the first of the nodes they share that are still there."""
+    monkeypatch.setattr(N, "SMALL", 6)
+    monkeypatch.setattr(N, "NEAREST_ROUNDS", 1)
+    rnd = random.Random(9)
+    base, rows = prose(rnd, 120, 10_000).split(), []
+    for i in range(120):
+        changed = list(base)
+        for _ in range(rnd.randrange(2, 6)):
+            changed[rnd.randrange(30, 120)] = f"y{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(changed), "s"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_duplicates(table(spark, rows)).collect()}
+    assert got == brute_components(rows)
