@@ -1,6 +1,7 @@
 """Links found inside a node: as many as join its components, for any number of near pairs."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -108,3 +109,26 @@ def test_dense_group_in_large_nodes_that_do_not_branch(spark, monkeypatch):
         rows.append((i, " ".join(changed), "s"))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.near_duplicates(table(spark, rows)).collect()}
     assert got == brute_components(rows)
+
+
+def test_sets_are_gathered_without_joining_the_slots_again(spark, monkeypatch):
+    """The ids whose sets are needed come from the nodes as they are: the rows of all nodes are joined with their slots once."""
+    for name, value in (("SMALL", 6), ("LARGE", 10), ("NEAREST_ROUNDS", 1)):
+        monkeypatch.setattr(N, name, value)
+    plans, write = [], N.materialise
+
+    def kept(df, name):
+        if name == "near-sets":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(N, "materialise", kept)
+    rnd = random.Random(10)
+    base, rows = prose(rnd, 60, 10_000).split(), []
+    for i in range(40):
+        changed = list(base)
+        for _ in range(rnd.randrange(1, 4)):
+            changed[rnd.randrange(20, 60)] = f"y{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(changed), "s"))
+    N.near_duplicates(table(spark, rows)).collect()
+    assert len(plans) == 1 and len(re.findall(r"Join Inner, \(id#\d+L = id#\d+L\)", plans[0])) == 1
